@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontaminate
+from . import decontaminate, mix, shard
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
+    "op6_mix": mix.op6_mix,
+    "op9_shard": shard.op9_shard,
 }
 
 ORACLE_SQL: dict[str, str] = {}
