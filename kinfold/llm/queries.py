@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mix, shard
+from . import decontaminate, licenses, mix, quality, secrets, shard
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
+    "op4_secrets": secrets.op4_secrets,
     "op6_mix": mix.op6_mix,
+    "op7_quality": quality.op7_quality,
     "op9_shard": shard.op9_shard,
+    "op10_licenses": licenses.op10_licenses,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_quality": quality.OP7_SQL,
+}
