@@ -25,7 +25,7 @@ RULES: dict[str, str] = {
     "few_words": "n_words < 50",
     "repeated_words": "100 * n_repeat_words > 50 * n_words",
     "symbols": "10 * n_symbols > n_words",
-    "repeated_lines": "100 * n_dup_lines > 30 * n_lines",
+    "repeated_lines": "100 * n_dup_lines > 40 * n_lines",
     "word_length": "n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 15 * n_words)",
     "digits": "100 * n_digits > 30 * word_chars",
 }
@@ -146,7 +146,7 @@ WITH d AS (
   FROM s LEFT JOIN p USING (r)
 ), f AS (
   SELECT *, (CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
-    + CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END + CASE WHEN 100 * n_dup_lines > 30 * n_lines THEN 8 ELSE 0 END
+    + CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END + CASE WHEN 100 * n_dup_lines > 40 * n_lines THEN 8 ELSE 0 END
     + CASE WHEN n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 15 * n_words) THEN 16 ELSE 0 END
     + CASE WHEN 100 * n_digits > 30 * word_chars THEN 32 ELSE 0 END)::BIGINT AS failed FROM m
 )
