@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontaminate, licenses, mix, quality, secrets, shard
+from . import decontaminate, licenses, mix, pii, quality, secrets, shard
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
     "op4_secrets": secrets.op4_secrets,
+    "op5_pii": pii.op5_pii,
     "op6_mix": mix.op6_mix,
     "op7_quality": quality.op7_quality,
     "op9_shard": shard.op9_shard,
