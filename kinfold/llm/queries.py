@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, licenses, mix, pii, quality, secrets, shard
+from . import decontaminate, lattice, licenses, mix, pii, quality, secrets, shard
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_pii": pii.op5_pii,
     "op6_mix": mix.op6_mix,
     "op7_quality": quality.op7_quality,
+    "op8_lattice": lattice.op8_lattice,
     "op9_shard": shard.op9_shard,
     "op10_licenses": licenses.op10_licenses,
 }
