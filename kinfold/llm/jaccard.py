@@ -317,11 +317,21 @@ def similar(docs: DataFrame, *, text: str = "text", id: str = "doc_id") -> DataF
 
 
 def keep_one(docs: DataFrame, *, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """One document of each component: the row with the least id, of equal ids the first."""
-    rows = settle(docs.withColumn("__row", F.monotonically_increasing_id()))
-    named = similar(rows.select(F.struct(F.col(id).alias("id"), F.col("__row").alias("row")).alias("__id"), F.col(text)), text=text, id="__id")
-    keep = named.where("id <=> component_id").select(F.col("id.row").alias("__row"))
-    return rows.join(keep, "__row", "left_semi").select(*docs.columns)
+    """One document of each component, the one with the least id; of repeated rows one.
+
+    Texts aren't shuffled unless more rows go than may be broadcast, or rows are repeated.
+    """
+    key = F.xxhash64(F.col(text))
+    named = settle(similar(docs.select(F.struct(F.col(id).alias("id"), key.alias("key")).alias("__id"), F.col(text)), text=text, id="__id"))
+    gone = settle(named.where("NOT (id <=> component_id)").select("id.id", "id.key").distinct())
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
+    rows = docs.withColumn("__key", key)
+    kept = rows.join(gone, rows[id].eqNullSafe(gone["id"]) & (rows["__key"] == gone["key"]), "left_anti")
+    if not named.where("n_shingles > 0").groupBy("id").count().where("count > 1").isEmpty():
+        some, none = F.col("__n") > 0, F.col("__n") == 0
+        sized = kept.withColumn("__n", F.length(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"[\x20\x09-\x0D]+", "")))
+        kept = sized.where(some).dropDuplicates([id, "__key"]).unionByName(sized.where(none))
+    return kept.select(*docs.columns)
 
 
 def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import decontaminate, jaccard, lattice, licenses, mix, pii, quality, secrets, shard
+from . import decontaminate, jaccard, lattice, licenses, mix, pii, quality, repeats, secrets, shard
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
+    "op2_repeats": repeats.op2_repeats,
     "op3_jaccard": jaccard.op3_jaccard,
     "op4_secrets": secrets.op4_secrets,
     "op5_pii": pii.op5_pii,
