@@ -1,13 +1,56 @@
-"""Corpus preparation: stages that each read what the one before has written."""
+"""Corpus preparation: five stages over documents, each reading what the one before has written.
+
+Quality rules drop what they reject; of each group of near-duplicates the document with the least
+id stays; documents contaminated by the benchmark go; sources are mixed to their target weights,
+which repeats documents; the last stage deals the mix to shards of nearly equal size.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+
+from kinfold.llm import decontaminate, jaccard, mix, quality, shard
+from kinfold.llm.store import settle
+
+SHARDS = 8
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.keep_good(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.remove_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mix.mixed(docs)
+
+
+def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return shard.shard(docs, SHARDS, key=shard.text_key(), size=shard.text_size())
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("mixing sources to target weights", mixing),
+    ("sharding", sharding),
+]
+
+#: Components and the schedule of the mix are beyond SQL; a brute-force version tests the result.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
+        if name != STAGES[-1][0]:
+            docs = settle(docs)
     return docs
