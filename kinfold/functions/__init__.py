@@ -1,0 +1 @@
+"""Column functions: text, phonetics, folding, fuzzy ratios, sets and vectors."""

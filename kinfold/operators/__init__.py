@@ -1,0 +1 @@
+"""Linkage operators: DataFrames in, DataFrames out."""

@@ -1,4 +1,563 @@
-"""The registered queries of the linkage operators, and their SQL."""
+"""The registered queries of the linkage operators over the driver's tables, and their SQL.
 
-QUERIES: dict = {}
+Records are documents: source 1 holds src0 to src6, the others are sources 2 and 3; the language is
+the country, the first four tokens the name, the next twelve the address.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..config import BlockingConfig, ModelConfig
+from ..functions import folding, fuzzy, phonetics, sets, text
+from ..operators import blocking, calibrate, evaluate, features, knn, model, postprocess, preprocess, validate
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+S1, C = "source1_entity_id", "candidate_entity_id"
+
+
+def query(sql: str | None = None, name: str | None = None):
+    def register(f):
+        QUERIES[name or f.__name__] = f
+        if sql:
+            ORACLE_SQL[name or f.__name__] = sql
+        return f
+
+    return register
+
+
+# --- inputs -------------------------------------------------------------------------------------
+
+RAW = r"""raw AS (
+  SELECT doc_id, text, lang, CAST(substr(source, 4) AS INTEGER) AS sn, list_filter(string_split_regex(coalesce(text, ''), '\s+'), lambda x: x <> '') AS tk FROM documents
+)"""
+REC = (
+    RAW
+    + """, rec AS (
+  SELECT (CASE WHEN sn <= 6 THEN 'S1-' WHEN sn % 2 = 1 THEN 'S2-' ELSE 'S3-' END) || doc_id AS entity_id, lang AS country,
+         array_to_string(tk[1:4], ' ') AS name_raw, array_to_string(tk[5:16], ' ') AS addr_raw,
+         lower(array_to_string(tk[1:4], ' ')) AS name, lower(array_to_string(tk[5:16], ' ')) AS addr,
+         list_transform(tk[1:4], lambda x: lower(x)) AS nt, list_transform(tk[5:16], lambda x: lower(x)) AS at_, text FROM raw
+)"""
+)
+PAIR = (
+    REC
+    + """, pair AS (
+  SELECT a.entity_id AS source1_entity_id, b.entity_id AS candidate_entity_id, a.country, a.name AS n1, b.name AS n2, a.addr AS a1, b.addr AS a2, a.nt AS t1, b.nt AS t2,
+         a.at_ AS u1, b.at_ AS u2
+  FROM rec a JOIN rec b ON a.country = b.country AND a.nt[1] = b.nt[1] AND a.nt[2] = b.nt[2] WHERE a.entity_id LIKE 'S1-%' AND b.entity_id NOT LIKE 'S1-%'
+)"""
+)
+TRUTH = (
+    REC
+    + """, truth AS (
+  SELECT a.entity_id AS source1_entity_id, b.entity_id AS candidate_entity_id FROM rec a JOIN rec b ON a.text = b.text WHERE a.entity_id LIKE 'S1-%' AND b.entity_id NOT LIKE 'S1-%'
+), cand AS (
+  SELECT DISTINCT a.entity_id AS source1_entity_id, b.entity_id AS candidate_entity_id
+  FROM rec a JOIN rec b ON a.country = b.country AND a.nt[1] = b.nt[1] AND a.nt[3] = b.nt[3] WHERE a.entity_id LIKE 'S1-%' AND b.entity_id NOT LIKE 'S1-%'
+)"""
+)
+JACCARD = "CASE WHEN len({a}) > 0 AND len({b}) > 0 THEN len(list_intersect(list_distinct({a}), list_distinct({b}))) / len(list_distinct(list_concat({a}, {b})))::DOUBLE ELSE 0 END"
+SHARE = "CASE WHEN len({a}) > 0 AND len({b}) > 0 THEN len(list_intersect(list_distinct({a}), list_distinct({b}))) / len(list_distinct({a}))::DOUBLE ELSE 0 END"
+LEVENSHTEIN = "CASE WHEN n1 <> '' AND n2 <> '' THEN 1 - levenshtein(n1, n2) / greatest(length(n1), length(n2))::DOUBLE ELSE 0 END"
+SCORED = PAIR + f", scored AS (SELECT source1_entity_id, candidate_entity_id, country, round({LEVENSHTEIN}, 3) + 0.0005 AS probability, CASE WHEN {JACCARD.format(a='u1', b='u2')} >= 0.2 THEN 1 ELSE 0 END AS label FROM pair)"
+GRID = """, grid AS (
+  SELECT country, i, i / 100.0::DOUBLE AS threshold, count(*) FILTER (label = 1 AND probability > i / 100.0::DOUBLE) AS tp, count(*) FILTER (label <> 1 AND probability > i / 100.0::DOUBLE) AS fp,
+         count(*) FILTER (label = 1 AND NOT probability > i / 100.0::DOUBLE) AS fn, count(*) FILTER (label <> 1 AND NOT probability > i / 100.0::DOUBLE) AS tn
+  FROM scored, (SELECT unnest(range(10, 91)) AS i) GROUP BY country, i
+), pr AS (
+  SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp)::DOUBLE ELSE 0 END AS p1, CASE WHEN tp + fn > 0 THEN tp / (tp + fn)::DOUBLE ELSE 0 END AS r1,
+         CASE WHEN tn + fn > 0 THEN tn / (tn + fn)::DOUBLE ELSE 0 END AS p0, CASE WHEN tn + fp > 0 THEN tn / (tn + fp)::DOUBLE ELSE 0 END AS r0,
+         CASE WHEN tp + fp + fn > 0 THEN 1 ELSE 0 END AS c1, CASE WHEN tn + fp + fn > 0 THEN 1 ELSE 0 END AS c0 FROM grid
+), macro AS (
+  SELECT *, (p1 * c1 + p0 * c0) / (c1 + c0) AS p, (r1 * c1 + r0 * c0) / (c1 + c0) AS r FROM pr
+), f AS (SELECT *, CASE WHEN p + r > 0 THEN 1.25 * p * r / (0.25 * p + r) ELSE 0 END AS f_beta FROM macro)"""
+
+
+def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+def raw_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents with the columns of source records."""
+    number = F.substring(F.col("source"), F.lit(4), F.length("source")).cast("int")
+    tokens = text.tokens(F.coalesce(F.col("text"), F.lit("")))
+    prefix = F.when(number <= 6, "S1-").when(number % 2 == 1, "S2-").otherwise("S3-")
+    df = _table(spark, sf, "documents").select(F.concat(prefix, F.col("doc_id").cast("string")).alias("entity_id"), F.col("lang").alias("country"), tokens.alias("tk"), "text")
+    cut = lambda a, n: F.array_join(F.slice("tk", a, n), " ")
+    return df.select("entity_id", cut(1, 4).alias("business_name"), cut(5, 12).alias("business_address"), "country", "text")
+
+
+def records(spark: SparkSession, sf: str) -> DataFrame:
+    r = raw_records(spark, sf)
+    return r.select("entity_id", "country", F.lower("business_name").alias("name"), F.lower("business_address").alias("addr"), "text").withColumns({"nt": text.tokens(F.col("name")), "at_": text.tokens(F.col("addr"))})
+
+
+def sides(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    first = F.col("entity_id").startswith("S1-")
+    return df.where(first), df.where(~first)
+
+
+def _keyed(df: DataFrame, *keys) -> DataFrame:
+    return df.select("entity_id", "country", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), c.alias("key")) for k, c in keys])).alias("k")).select("entity_id", "country", "k.kind", "k.key").where("key <> ''")
+
+
+def pairs(spark: SparkSession, sf: str) -> DataFrame:
+    a, b = sides(records(spark, sf).withColumns({"k1": F.try_element_at("nt", F.lit(1)), "k2": F.try_element_at("nt", F.lit(2))}))
+    l = a.select(F.col("entity_id").alias(S1), "country", "k1", "k2", F.col("name").alias("n1"), F.col("addr").alias("a1"), F.col("nt").alias("t1"), F.col("at_").alias("u1"))  # noqa: E741
+    r = b.select(F.col("entity_id").alias(C), "country", "k1", "k2", F.col("name").alias("n2"), F.col("addr").alias("a2"), F.col("nt").alias("t2"), F.col("at_").alias("u2"))
+    return l.join(r, ["country", "k1", "k2"]).drop("k1", "k2")
+
+
+def truth(spark: SparkSession, sf: str) -> DataFrame:
+    a, b = sides(records(spark, sf))
+    return a.select(F.col("entity_id").alias(S1), "text").join(b.select(F.col("entity_id").alias(C), "text"), "text").select(S1, C)
+
+
+def some_candidates(spark: SparkSession, sf: str) -> DataFrame:
+    keyed = records(spark, sf).withColumn("key", F.concat_ws(" ", F.try_element_at("nt", F.lit(1)), F.try_element_at("nt", F.lit(3)))).where(F.size("nt") >= 3)
+    a, b = sides(keyed.select("entity_id", "country", F.lit("FIRST_THIRD").alias("kind"), "key"))
+    return blocking.key_pairs(a, b)
+
+
+def scored(spark: SparkSession, sf: str) -> DataFrame:
+    p = pairs(spark, sf)
+    near = F.round(sets.levenshtein_norm(F.col("n1"), F.col("n2")), 3) + 0.0005
+    return p.select(S1, C, "country", near.alias("probability"), (sets.jaccard(F.col("u1"), F.col("u2")) >= 0.2).cast("int").alias("label"))
+
+
+def processed(spark: SparkSession, sf: str) -> DataFrame:
+    return preprocess.preprocess(raw_records(spark, sf))
+
+
+# --- end to end ---------------------------------------------------------------------------------
+
+
+@query("WITH " + PAIR + f", s AS (SELECT source1_entity_id, candidate_entity_id, round({JACCARD.format(a='t1', b='t2')}, 6) AS token_jaccard FROM pair) SELECT * FROM s WHERE token_jaccard >= 0.5")
+def linkage_minimum(spark, sf):
+    """Blocked pairs of records with names that overlap."""
+    out = pairs(spark, sf).select(S1, C, F.round(sets.jaccard(F.col("t1"), F.col("t2")), 6).alias("token_jaccard"))
+    return out.where("token_jaccard >= 0.5")
+
+
+# --- scalars ------------------------------------------------------------------------------------
+
+
+@query("WITH " + REC + " SELECT entity_id, trim(lower(name_raw)) AS name, length(name)::INTEGER AS n FROM rec")
+def norm_text(spark, sf):
+    return raw_records(spark, sf).select("entity_id", text.strip(F.lower("business_name")).alias("name")).withColumn("n", F.length("name"))
+
+
+@query("WITH " + REC + """, g AS (SELECT entity_id, unnest(range(1, length(name) - 1)) AS i, name FROM rec)
+SELECT entity_id, count(DISTINCT substr(name, i, 3)) AS n_ngrams, min(substr(name, i, 3)) AS first_ngram FROM g GROUP BY entity_id""")
+def ngram_sets(spark, sf):
+    g = records(spark, sf).select("entity_id", text.ngrams(F.col("name")).alias("g")).where(F.size("g") > 0)
+    return g.select("entity_id", F.size("g").cast("long").alias("n_ngrams"), F.array_min("g").alias("first_ngram"))
+
+
+@query(r"""SELECT doc_id, array_to_string(regexp_extract_all(text, '\b\d{5}(?:-\d{4})?\b'), ',') AS us, array_to_string(regexp_extract_all(text, '\b\d{6}\b'), ',') AS india FROM documents
+WHERE regexp_matches(text, '\b\d{5,6}\b')""")
+def postal_extract(spark, sf):
+    d = _table(spark, sf, "documents").where(F.col("text").rlike(r"\b\d{5,6}\b"))
+    codes = lambda c: F.array_join(text.postal_codes(F.col("text"), F.lit(c)), ",")
+    return d.select("doc_id", codes("US").alias("us"), codes("India").alias("india"))
+
+
+ADDRESSES = [
+    (1, "house no 12, 5 mg road, unit 7, delhi 110001", "India"), (2, "6267 passing sky drive, colorado", "US"), (3, "p.o. box 77, flower road", "US"), (4, "flat no 12-b main st 60606-1234", "US"),
+    (5, "plot no. 5/6 west virginia avenue", "US"), (6, "12 rue de la paix 75001 paris, ile-de-france", "France"), (7, "", "US"), (8, "calle mayor 5 28013 madrid", "Spain"), (9, "post office box: 9 suite 300 arkansas", "US"),
+]
+_VALUES = "addr AS (SELECT * FROM (VALUES " + ", ".join(f"({i}, '{a}', '{c}')" for i, a, c in ADDRESSES) + ") AS t(id, addr, country))"
+_HOUSE, _UNIT, _PO = (p.replace("'", "''") for p in (text.HOUSE, text.UNIT, text.PO_BOX))
+
+
+@query("WITH " + _VALUES + f""" SELECT id, regexp_extract(addr, '{_HOUSE}', 1) AS house_number, regexp_extract(addr, '{_UNIT}', 1) AS unit, regexp_extract(addr, '{_PO}', 1) AS po_box,
+  CASE country WHEN 'US' THEN array_to_string(regexp_extract_all(addr, '\\b\\d{{5}}(?:-\\d{{4}})?\\b'), ',') WHEN 'India' THEN array_to_string(regexp_extract_all(addr, '\\b\\d{{6}}\\b'), ',')
+  WHEN 'France' THEN array_to_string(regexp_extract_all(addr, '\\b\\d{{5}}\\b'), ',') ELSE '' END AS postal,
+  CASE id WHEN 1 THEN 'house no 12, 5 mg road, unit 7, delhi 1100' WHEN 2 THEN '6267 passing sky drive, colorado' WHEN 3 THEN 'p.o. box 77, flower road' WHEN 4 THEN 'flat no 12-b main st 60606-1234'
+  WHEN 5 THEN 'plot no. 5/6 west virginia avenue' ELSE '' END AS road,
+  CASE id WHEN 1 THEN 'DL' WHEN 2 THEN 'CO' WHEN 5 THEN 'WV' WHEN 6 THEN 'IDF' WHEN 9 THEN 'AR' ELSE '' END AS state FROM addr""")
+def addr_regex_parse(spark, sf):
+    df = spark.createDataFrame(ADDRESSES, "id int, addr string, country string")
+    a, c = F.col("addr"), F.col("country")
+    return df.select("id", text.house_number(a).alias("house_number"), text.unit(a).alias("unit"), text.po_box(a).alias("po_box"), F.array_join(text.postal_codes(a, c), ",").alias("postal"), text.road(a).alias("road"), text.state(a, c).alias("state"))
+
+
+@query(r"SELECT * FROM (VALUES (1, '6267'), (2, '123'), (3, 'a-12'), (4, '')) AS t(id, house_number_norm)")
+def house_number_norm(spark, sf):
+    df = spark.createDataFrame([(1, "6267B"), (2, " 123-A"), (3, "A-12"), (4, None)], "id int, n string")
+    return df.select("id", text.house_number_norm(F.col("n")).alias("house_number_norm"))
+
+
+@query("SELECT * FROM (VALUES (1, 'acme', 'acme Inc'), (2, 'acme foods', 'acme foods Pvt Ltd'), (3, 'waters & millar', 'waters & millar PC'), (4, 'inc', 'Inc'), (5, 'acme group', 'acme Group Co Ltd')) AS t(id, name, canonical)")
+def suffix_strip(spark, sf):
+    rows = [(1, "acme inc.", "US"), (2, "acme foods pvt ltd.", "India"), (3, "waters & millar p.c.", "US"), (4, "inc", "US"), (5, "acme group co ltd", "US")]
+    df = spark.createDataFrame(rows, "id int, name string, country string")
+    tidy = F.regexp_replace(text.canonical_suffix(F.col("name"), F.col("country")), r"\.$", "")
+    return df.select("id", text.strip(text.basename(F.col("name"))).alias("name"), tidy.alias("canonical"))
+
+
+@query("SELECT doc_id, 'Latin' AS script FROM documents")
+def script_detect(spark, sf):
+    return _table(spark, sf, "documents").select("doc_id", text.script(F.coalesce("text", F.lit(""))).alias("script"))
+
+
+@query("WITH " + REC + " SELECT entity_id, strip_accents(name) AS folded FROM rec WHERE regexp_matches(name, '[àâäéèêëïîôöùûüÿçñáíóú]') AND NOT contains(name, 'ß')")
+def accent_fold(spark, sf):
+    r = records(spark, sf).where(F.col("name").rlike("[àâäéèêëïîôöùûüÿçñáíóú]") & ~F.contains("name", F.lit("ß")))
+    return r.select("entity_id", folding.folded(F.col("name"), F.lit("US")).alias("folded"))
+
+
+@query()
+def phonetic_codes(spark, sf):
+    return records(spark, sf).select("entity_id", phonetics.phonetic_keys(F.col("name")).alias("k")).select("entity_id", "k.*")
+
+
+@query()
+def processed_records(spark, sf):
+    return processed(spark, sf)
+
+
+# --- joins --------------------------------------------------------------------------------------
+
+
+@query("WITH " + REC + " SELECT a.entity_id AS source1_entity_id, b.entity_id AS candidate_entity_id FROM rec a JOIN rec b ON a.name = b.name AND a.name <> '' WHERE a.entity_id LIKE 'S1-%' AND b.entity_id NOT LIKE 'S1-%'")
+def exact_block_pairs(spark, sf):
+    a, b = sides(_keyed(records(spark, sf), ("NAME", F.col("name"))))
+    return blocking.key_pairs(a, b, restrict=False)
+
+
+@query("SELECT DISTINCT a.p_partkey AS left_part, b.p_partkey AS right_part FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_type = b.p_type AND a.p_size = b.p_size AND a.p_partkey < b.p_partkey")
+def composite_key_pairs(spark, sf):
+    p = _table(spark, sf, "part").select("p_partkey", "p_brand", "p_type", "p_size")
+    out = p.withColumnRenamed("p_partkey", "left_part").join(p.withColumnRenamed("p_partkey", "right_part"), ["p_brand", "p_type", "p_size"]).where("left_part < right_part")
+    return out.select("left_part", "right_part").distinct()
+
+
+MULTI = """, keys AS (
+  SELECT entity_id, country, 'HEAD' AS kind, nt[1] || ' ' || nt[2] AS key FROM rec WHERE len(nt) > 1 UNION ALL SELECT entity_id, country, 'TAIL', nt[3] || ' ' || nt[4] FROM rec WHERE len(nt) > 3
+), kp AS (
+  SELECT DISTINCT a.entity_id AS source1_entity_id, b.entity_id AS candidate_entity_id, a.country AS c1, b.country AS c2
+  FROM keys a JOIN keys b USING (kind, key) WHERE a.entity_id LIKE 'S1-%' AND b.entity_id NOT LIKE 'S1-%'
+)"""
+
+
+def _multi(spark, sf):
+    both = lambda i: F.when(F.size("nt") > i, F.concat_ws(" ", F.try_element_at("nt", F.lit(i)), F.try_element_at("nt", F.lit(i + 1))))
+    return _keyed(records(spark, sf), ("HEAD", both(1)), ("TAIL", both(3)))
+
+
+@query("WITH " + REC + MULTI + " SELECT source1_entity_id, candidate_entity_id FROM kp")
+def multi_key_block_pairs(spark, sf):
+    return blocking.key_pairs(*sides(_multi(spark, sf)), restrict=False)
+
+
+@query("WITH " + REC + MULTI + " SELECT source1_entity_id, candidate_entity_id FROM kp WHERE c1 = c2")
+def country_restricted_pairs(spark, sf):
+    return blocking.key_pairs(*sides(_multi(spark, sf)))
+
+
+@query("WITH " + REC + MULTI + " SELECT kind, count(DISTINCT key) AS n_keys FROM keys GROUP BY kind")
+def key_counts(spark, sf):
+    return blocking.key_counts(_multi(spark, sf))
+
+
+@query("WITH " + REC + r""", g AS (SELECT DISTINCT entity_id, country, substr(name, i, 3) AS g FROM (SELECT entity_id, country, name, unnest(range(1, length(name) - 1)) AS i FROM rec)),
+m AS (SELECT entity_id, country, s, min(md5(s || '|' || g)) AS h FROM g, (SELECT unnest(range(0, 12)) AS s) GROUP BY entity_id, country, s),
+b AS (SELECT entity_id, country, s // 3 AS band, string_agg(h, ',' ORDER BY s) AS key FROM m GROUP BY entity_id, country, s // 3)
+SELECT DISTINCT x.entity_id AS source1_entity_id, y.entity_id AS candidate_entity_id FROM b x JOIN b y USING (band, key) WHERE x.country = y.country AND x.entity_id LIKE 'S1-%' AND y.entity_id NOT LIKE 'S1-%'""")
+def minhash_band_pairs(spark, sf):
+    r = records(spark, sf).withColumn("g", text.ngrams(F.col("name")))
+    return blocking.key_pairs(*sides(blocking.bands(r, "g", "NAME_LSH", 4, 3, hashed="md5")))
+
+
+@query("""SELECT query_id, label, vec_id, score, rank FROM (
+  SELECT a.vec_id AS query_id, a.label, b.vec_id, round(list_inner_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS score,
+         row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_inner_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) DESC, b.vec_id)::INTEGER AS rank
+  FROM embeddings a JOIN embeddings b ON a.label = b.label WHERE a.vec_id % 20 = 0) WHERE rank <= 10""")
+def knn_topk(spark, sf):
+    e = _table(spark, sf, "embeddings").select("vec_id", "label", F.col("embedding").alias("vector"))
+    q = e.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id")
+    return knn.topk(q, e, 10, by=["label"], query="query_id", candidate="vec_id")
+
+
+@query()
+def knn_inverted_lists(spark, sf):
+    e = _table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    indexed, probe = knn.inverted_lists(e)
+    q = probe(e.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id"), 4)
+    found = knn.topk(q, indexed, 10, by=["cell"], query="query_id", candidate="vec_id")
+    return found.select("query_id", "vec_id", "score", "rank")
+
+
+@query("WITH " + TRUTH + " SELECT c.source1_entity_id, c.candidate_entity_id, CASE WHEN t.source1_entity_id IS NULL THEN 0 ELSE 1 END AS label FROM cand c LEFT JOIN truth t USING (source1_entity_id, candidate_entity_id)")
+def label_join(spark, sf):
+    return features.label(some_candidates(spark, sf), truth(spark, sf)).select(S1, C, "label")
+
+
+@query("WITH " + TRUTH + " SELECT entity_id FROM rec WHERE entity_id LIKE 'S1-%' AND entity_id IN (SELECT source1_entity_id FROM truth)")
+def sample_semi_join(spark, sf):
+    return sides(records(spark, sf))[0].select("entity_id").join(truth(spark, sf).select(F.col(S1).alias("entity_id")), "entity_id", "left_semi")
+
+
+@query("WITH " + TRUTH + " SELECT * FROM cand WHERE source1_entity_id NOT IN (SELECT DISTINCT source1_entity_id FROM cand ORDER BY source1_entity_id DESC LIMIT 50)")
+def holdout_anti_join(spark, sf):
+    c = some_candidates(spark, sf)
+    return c.join(model.hold_out(c, 50), S1, "left_anti").select(S1, C)
+
+
+@query("WITH " + TRUTH + " SELECT * FROM truth INTERSECT SELECT * FROM cand")
+def matches_subset_semi_join(spark, sf):
+    return postprocess.within_candidates(truth(spark, sf), some_candidates(spark, sf)).select(S1, C).distinct()
+
+
+@query("WITH " + PAIR + """, e AS (SELECT source1_entity_id, candidate_entity_id FROM pair WHERE n1 = n2), z AS (
+  SELECT source1_entity_id, candidate_entity_id, n FROM (SELECT p.*, row_number() OVER (PARTITION BY source1_entity_id ORDER BY candidate_entity_id) AS n FROM (SELECT source1_entity_id, candidate_entity_id FROM pair EXCEPT SELECT * FROM e) p)
+), k AS (SELECT source1_entity_id, count(*) AS k FROM e GROUP BY 1)
+SELECT source1_entity_id, count(*) AS n_all, count(*) FILTER (is_exact) AS n_exact FROM (
+  SELECT source1_entity_id, TRUE AS is_exact FROM e UNION ALL SELECT z.source1_entity_id, FALSE FROM z LEFT JOIN k USING (source1_entity_id) WHERE n <= 3 - coalesce(k, 0)) GROUP BY 1""")
+def candidate_cap(spark, sf):
+    p = pairs(spark, sf)
+    capped = blocking.cap(blocking.tiered(p.where("n1 = n2").select(S1, C), p.select(S1, C)), 3)
+    return capped.groupBy(S1).agg(F.count("*").alias("n_all"), F.count_if("is_exact").alias("n_exact"))
+
+
+@query("WITH " + PAIR + " SELECT source1_entity_id, candidate_entity_id FROM pair UNION SELECT a.entity_id, b.entity_id FROM rec a JOIN rec b ON a.name = b.name AND a.country = b.country AND a.name <> '' WHERE a.entity_id LIKE 'S1-%' AND b.entity_id NOT LIKE 'S1-%'")
+def union_candidates(spark, sf):
+    a, b = sides(_keyed(records(spark, sf), ("NAME", F.col("name"))))
+    return blocking.tiered(blocking.key_pairs(a, b), pairs(spark, sf)).select(S1, C)
+
+
+@query("WITH " + TRUTH + " SELECT * FROM truth EXCEPT SELECT * FROM cand")
+def missed_matches(spark, sf):
+    return truth(spark, sf).join(some_candidates(spark, sf), [S1, C], "left_anti").select(S1, C).distinct()
+
+
+# --- features -----------------------------------------------------------------------------------
+
+
+def _scalar(name: str, sql: str, column) -> None:
+    query(f"WITH {PAIR} SELECT source1_entity_id, candidate_entity_id, round(({sql})::DOUBLE, 6) AS {name} FROM pair", name)(
+        lambda spark, sf: pairs(spark, sf).select(S1, C, F.round(column().cast("double"), 6).alias(name))
+    )
+
+
+_scalar("token_jaccard", JACCARD.format(a="t1", b="t2"), lambda: sets.jaccard(F.col("t1"), F.col("t2")))
+_scalar("addr_token_jaccard", JACCARD.format(a="u1", b="u2"), lambda: sets.jaccard(F.col("u1"), F.col("u2")))
+_scalar("levenshtein_norm", LEVENSHTEIN, lambda: sets.levenshtein_norm(F.col("n1"), F.col("n2")))
+_scalar("first_token_match", "CASE WHEN t1[1] = t2[1] THEN 1 ELSE 0 END", lambda: F.coalesce(F.try_element_at("t1", F.lit(1)) == F.try_element_at("t2", F.lit(1)), F.lit(False)))
+_scalar("name_in_text_share", SHARE.format(a="t1", b="u2"), lambda: sets.share(F.col("t1"), F.col("u2")))
+
+
+@query(r"""WITH d AS (SELECT doc_id, source, regexp_extract_all(text, '\b\d+[A-Z\-/]*\b') AS n FROM documents), x AS (SELECT * FROM d WHERE len(n) > 0)
+SELECT a.doc_id AS left_id, b.doc_id AS right_id, round(len(list_intersect(list_distinct(a.n), list_distinct(b.n))) / len(list_distinct(list_concat(a.n, b.n)))::DOUBLE, 6) AS numeric_jaccard
+FROM x a JOIN x b ON a.source = b.source AND a.doc_id < b.doc_id""")
+def numeric_jaccard(spark, sf):
+    d = _table(spark, sf, "documents").select("doc_id", "source", features.numeric_tokens(F.col("text")).alias("n")).where(F.size("n") > 0)
+    a, b = d.select(F.col("doc_id").alias("left_id"), "source", F.col("n").alias("x")), d.select(F.col("doc_id").alias("right_id"), "source", F.col("n").alias("y"))
+    return a.join(b, "source").where("left_id < right_id").select("left_id", "right_id", F.round(sets.jaccard(F.col("x"), F.col("y")), 6).alias("numeric_jaccard"))
+
+
+@query("WITH " + PAIR + """, names AS (SELECT DISTINCT name FROM rec WHERE name <> ''), nd AS (SELECT count(*) AS n FROM rec WHERE name <> ''),
+g AS (SELECT entity_id, name, substr(name, i, 3) AS g FROM (SELECT entity_id, name, unnest(range(1, length(name) - 1)) AS i FROM rec)),
+df AS (SELECT g, count(DISTINCT entity_id) AS df FROM g GROUP BY g), idf AS (SELECT g, ln((1 + n) / (1 + df)::DOUBLE) + 1 AS idf FROM df, nd),
+tf AS (SELECT name, g, count(*) AS tf FROM (SELECT name, substr(name, i, 3) AS g FROM (SELECT name, unnest(range(1, length(name) - 1)) AS i FROM names)) GROUP BY name, g),
+w AS (SELECT name, g, tf * idf AS w FROM tf JOIN idf USING (g)), nm AS (SELECT name, sqrt(sum(w * w)) AS n FROM w GROUP BY name), u AS (SELECT name, g, w / n AS w FROM w JOIN nm USING (name)),
+dp AS (SELECT DISTINCT n1, n2 FROM pair)
+SELECT n1 AS name_clean_1, n2 AS name_clean_2, round(sum(a.w * b.w), 6) AS tfidf_cosine FROM dp JOIN u a ON a.name = n1 JOIN u b ON b.name = n2 AND b.g = a.g GROUP BY n1, n2""")
+def tfidf_cosine(spark, sf):
+    fitted = features.Tfidf.fit(records(spark, sf).withColumnRenamed("name", "name_clean"))
+    p = pairs(spark, sf).select(F.col("n1").alias("name_clean_1"), F.col("n2").alias("name_clean_2"))
+    return fitted.cosine(p).withColumn("tfidf_cosine", F.round("tfidf_cosine", 6))
+
+
+@query()
+def fuzzy_ratios(spark, sf):
+    p = pairs(spark, sf).select("n1", "n2").distinct()
+    return p.withColumn("r", fuzzy.ratios(F.col("n1"), F.col("n2"))).select("n1", "n2", "r.*")
+
+
+def _featured(spark, sf):
+    done = processed(spark, sf)
+    a, b = sides(done)
+    l, r = (_keyed(x.withColumn("k", F.array_join(F.slice(text.tokens(F.col("name_clean")), 1, 2), " ")), ("HEAD", F.col("k"))) for x in (a, b))
+    labelled = features.label(blocking.key_pairs(l, r), truth(spark, sf))
+    return a, features.pair_features(features.hydrate(labelled, a, b), features.Tfidf.fit(a))
+
+
+@query()
+def pair_features(spark, sf):
+    return _featured(spark, sf)[1]
+
+
+# --- aggregates, thresholds ---------------------------------------------------------------------
+
+RECALL = """, e AS (
+  SELECT t.source1_entity_id, count(*) AS n_truth, count(c.candidate_entity_id) AS n_found FROM (SELECT DISTINCT * FROM truth) t LEFT JOIN cand c USING (source1_entity_id, candidate_entity_id) GROUP BY 1
+), n AS (SELECT source1_entity_id, count(*) AS nc FROM cand GROUP BY 1), ee AS (SELECT e.*, coalesce(nc, 0) AS nc, country FROM e LEFT JOIN n USING (source1_entity_id) JOIN rec ON entity_id = source1_entity_id)"""
+RECALL_COLUMNS = """round(sum(n_found) / sum(n_truth)::DOUBLE, 6) AS overall_recall, round(avg(n_found / n_truth::DOUBLE), 6) AS macro_recall, round(avg(nc), 6) AS avg_candidates,
+  sum(n_found)::BIGINT AS n_found, sum(n_truth)::BIGINT AS n_truth, count(*) AS n_entities"""
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.round(c, 6) for c, t in df.dtypes if t == "double"})
+
+
+@query("WITH " + TRUTH + RECALL + f" SELECT {RECALL_COLUMNS} FROM ee")
+def recall_overall(spark, sf):
+    return _rounded(evaluate.recall(truth(spark, sf), some_candidates(spark, sf), sides(records(spark, sf))[0]))
+
+
+@query("WITH " + TRUTH + RECALL + f" SELECT country, {RECALL_COLUMNS} FROM ee GROUP BY country")
+def recall_by_country(spark, sf):
+    return _rounded(evaluate.recall_by_country(truth(spark, sf), some_candidates(spark, sf), sides(records(spark, sf))[0]))
+
+
+@query("WITH " + TRUTH + """, l AS (SELECT entity_id, count(candidate_entity_id) AS n FROM rec LEFT JOIN cand ON entity_id = source1_entity_id WHERE entity_id LIKE 'S1-%' GROUP BY 1)
+SELECT count(*) AS n_entities, round(avg(n), 6) AS mean, quantile_cont(n, 0.5)::DOUBLE AS median, max(n)::INTEGER AS most, min(n)::INTEGER AS least, count(*) FILTER (n = 0) AS n_empty, count(*) FILTER (n >= 200) AS n_capped FROM l""")
+def candidate_distribution(spark, sf):
+    return _rounded(evaluate.distribution(blocking.candidate_lists(some_candidates(spark, sf), sides(records(spark, sf))[0])))
+
+
+@query("WITH " + TRUTH + """, p2 AS (SELECT DISTINCT a.entity_id AS source1_entity_id, b.entity_id AS candidate_entity_id FROM rec a JOIN rec b ON a.name = b.name WHERE a.entity_id LIKE 'S1-%' AND b.entity_id NOT LIKE 'S1-%' AND a.name <> '')
+SELECT count(*) AS n_truth, count(c.source1_entity_id) AS n_before, count(p.source1_entity_id) AS n_after, count(*) FILTER (c.source1_entity_id IS NULL AND p.source1_entity_id IS NOT NULL) AS n_new,
+  count(*) FILTER (p.source1_entity_id IS NULL) AS n_missed
+FROM (SELECT DISTINCT * FROM truth) t LEFT JOIN cand c USING (source1_entity_id, candidate_entity_id) LEFT JOIN p2 p USING (source1_entity_id, candidate_entity_id)""")
+def recall_lift(spark, sf):
+    a, b = sides(_keyed(records(spark, sf), ("NAME", F.col("name"))))
+    return evaluate.lift(truth(spark, sf), some_candidates(spark, sf), blocking.key_pairs(a, b, restrict=False))
+
+
+@query("WITH " + SCORED + GRID + " SELECT country, threshold, tp, fp, fn, tn, round(f_beta, 6) AS f_beta FROM f")
+def threshold_grid(spark, sf):
+    return calibrate.grid(scored(spark, sf)).withColumn("f_beta", F.round("f_beta", 6))
+
+
+BEST = """, best AS (
+  SELECT country, CASE WHEN s > 0 THEN threshold ELSE 0.5 END AS threshold, s FROM (SELECT country, threshold, round(f_beta, 12) AS s, row_number() OVER (PARTITION BY country ORDER BY round(f_beta, 12) DESC, threshold) AS k FROM f) WHERE k = 1
+)"""
+
+
+@query("WITH " + SCORED + GRID + BEST + " SELECT country, threshold, round(s, 6) AS f_beta FROM best")
+def best_threshold(spark, sf):
+    return calibrate.best(calibrate.grid(scored(spark, sf))).withColumn("f_beta", F.round("f_beta", 6))
+
+
+@query("WITH " + SCORED + GRID + BEST + " SELECT source1_entity_id, candidate_entity_id, CASE WHEN probability > threshold THEN 1 ELSE 0 END AS predicted FROM scored JOIN best USING (country)")
+def apply_threshold(spark, sf):
+    s = scored(spark, sf)
+    return calibrate.apply(s, calibrate.best(calibrate.grid(s))).select(S1, C, "predicted")
+
+
+@query("WITH " + SCORED + """, grid AS (SELECT 0 AS i, 0.5 AS threshold, country, count(*) FILTER (label = 1 AND probability > 0.6) AS tp, count(*) FILTER (label <> 1 AND probability > 0.6) AS fp,
+  count(*) FILTER (label = 1 AND NOT probability > 0.6) AS fn, count(*) FILTER (label <> 1 AND NOT probability > 0.6) AS tn FROM scored GROUP BY country)"""
+  + GRID[GRID.index(", pr AS") :] + " SELECT country, tp, fp, fn, tn, round(p, 6) AS precision, round(r, 6) AS recall, round(f_beta, 6) AS f_beta FROM f")
+def pair_metrics(spark, sf):
+    p = scored(spark, sf).withColumn("predicted", (F.col("probability") > 0.6).cast("int"))
+    return _rounded(evaluate.pair_metrics(p, ["country"]))
+
+
+@query("WITH " + TRUTH + """, pred AS (SELECT DISTINCT a.entity_id AS source1_entity_id, b.entity_id AS candidate_entity_id FROM rec a JOIN rec b ON a.name = b.name AND a.name <> '' WHERE a.entity_id LIKE 'S1-%' AND b.entity_id NOT LIKE 'S1-%'),
+j AS (SELECT source1_entity_id, count(t) AS n_t, count(p) AS np, count(*) FILTER (t IS NOT NULL AND p IS NOT NULL) AS nh FROM (SELECT DISTINCT *, 1 AS t FROM truth) FULL JOIN (SELECT *, 1 AS p FROM pred) USING (source1_entity_id, candidate_entity_id) GROUP BY 1),
+e AS (SELECT entity_id, CASE WHEN coalesce(np, 0) = 0 THEN 1 ELSE nh / np::DOUBLE END AS p, CASE WHEN coalesce(n_t, 0) = 0 THEN 1 ELSE nh / n_t::DOUBLE END AS r FROM rec LEFT JOIN j ON entity_id = source1_entity_id WHERE entity_id LIKE 'S1-%')
+SELECT round(avg(CASE WHEN p + r > 0 THEN 1.25 * p * r / (0.25 * p + r) ELSE 0 END), 6) AS mean_f_beta, round(avg(p), 6) AS mean_precision, round(avg(r), 6) AS mean_recall FROM e""")
+def entity_f05(spark, sf):
+    rec = records(spark, sf)
+    a, b = sides(_keyed(rec, ("NAME", F.col("name"))))
+    return _rounded(evaluate.entity_f(sides(rec)[0], truth(spark, sf), blocking.key_pairs(a, b, restrict=False)))
+
+
+@query("WITH " + TRUTH + """, pred AS (SELECT DISTINCT a.entity_id AS source1_entity_id, b.entity_id AS candidate_entity_id FROM rec a JOIN rec b ON a.name = b.name AND a.name <> '' WHERE a.entity_id LIKE 'S1-%' AND b.entity_id NOT LIKE 'S1-%')
+SELECT coalesce(t.source1_entity_id, p.source1_entity_id) AS source1_entity_id, coalesce(t.candidate_entity_id, p.candidate_entity_id) AS candidate_entity_id,
+  CASE WHEN t.source1_entity_id IS NULL THEN 'wrong' WHEN p.source1_entity_id IS NULL THEN 'missed' ELSE 'matched' END AS status
+FROM (SELECT DISTINCT * FROM truth) t FULL JOIN pred p ON t.source1_entity_id = p.source1_entity_id AND t.candidate_entity_id = p.candidate_entity_id""")
+def error_report(spark, sf):
+    rec = records(spark, sf).withColumnRenamed("name", "name_clean")
+    a, b = sides(rec)
+    ka, kb = sides(_keyed(rec, ("NAME", F.col("name_clean"))))
+    return evaluate.error_report(blocking.key_pairs(ka, kb, restrict=False), truth(spark, sf), a, b).select(S1, C, "status")
+
+
+@query("WITH " + PAIR + f""", s AS (SELECT source1_entity_id, max({JACCARD.format(a='u1', b='u2')}) AS max_addr, max({JACCARD.format(a='t1', b='t2')}) AS max_token, count(*) AS n FROM pair GROUP BY 1)
+SELECT entity_id AS source1_entity_id, CASE WHEN n IS NULL THEN 1 ELSE 0.25 END::DOUBLE AS max_name, round(coalesce(max_addr, 0), 6) AS max_addr, round(coalesce(max_token, 0), 6) AS max_token,
+  coalesce(n, 0)::DOUBLE AS n_candidates, CASE WHEN n IS NULL THEN 1 ELSE 0 END::DOUBLE AS no_candidates FROM rec LEFT JOIN s ON entity_id = source1_entity_id WHERE entity_id LIKE 'S1-%'""")
+def singleton_features(spark, sf):
+    zero = {c: F.lit(0.0) for c in ("pin_exact", "city_exact", "house_number_match")}
+    p = pairs(spark, sf).withColumns({"fuzz_wratio": F.lit(0.25), "token_jaccard": sets.jaccard(F.col("t1"), F.col("t2")), "addr_token_jaccard": sets.jaccard(F.col("u1"), F.col("u2"))} | zero)
+    out = model.singleton_features(sides(records(spark, sf))[0], p)
+    return _rounded(out.select(S1, "max_name", "max_addr", "max_token", "n_candidates", "no_candidates"))
+
+
+@query("WITH " + SCORED + " SELECT source1_entity_id, candidate_entity_id FROM scored WHERE source1_entity_id NOT IN (SELECT source1_entity_id FROM scored GROUP BY 1 HAVING min(probability) > 0.6)")
+def singleton_filter(spark, sf):
+    s = scored(spark, sf)
+    alone = s.groupBy(S1).agg(F.min("probability").alias("probability"))
+    return postprocess.drop_singletons(s.select(S1, C), alone, 0.6).select(S1, C)
+
+
+@query("WITH " + TRUTH + " SELECT entity_id AS source1_entity_id, coalesce(string_agg(DISTINCT candidate_entity_id, ',' ORDER BY candidate_entity_id), '') AS matched_entity_ids FROM rec LEFT JOIN truth ON entity_id = source1_entity_id WHERE entity_id LIKE 'S1-%' GROUP BY 1")
+def match_list_output(spark, sf):
+    from ..sources.tsv import as_lists
+
+    return as_lists(truth(spark, sf), sides(records(spark, sf))[0].select(F.col("entity_id").alias(S1)), "matched_entity_ids")
+
+
+@query("SELECT conv_id, string_agg(role, ',' ORDER BY turn) AS roles, count(*) AS n_turns FROM conversations GROUP BY conv_id")
+def group_to_list(spark, sf):
+    c = _table(spark, sf, "conversations")
+    turns = F.array_sort(F.collect_list(F.struct("turn", "role")))
+    return c.groupBy("conv_id").agg(F.array_join(F.transform(turns, lambda t: t["role"]), ",").alias("roles"), F.count("*").alias("n_turns"))
+
+
+@query("""WITH v AS (SELECT conv_id, list(DISTINCT role) AS r FROM conversations GROUP BY conv_id), l AS (SELECT conv_id AS id, array_to_string(list_sort(r), ',') AS s FROM v)
+SELECT id, unnest(string_split(s, ',')) AS role FROM l WHERE s <> ''""")
+def truth_explode(spark, sf):
+    from ..sources.tsv import truth_pairs
+
+    c = _table(spark, sf, "conversations").groupBy(F.col("conv_id").alias("id")).agg(F.array_join(F.array_sort(F.collect_set("role")), ",").alias("s"))
+    return truth_pairs(c, "id", "s").withColumnRenamed(C, "role")
+
+
+@query("""WITH r AS (SELECT doc_id, quality, count(*) OVER (PARTITION BY quality) AS n FROM labels) SELECT quality, floor(n * 0.2)::BIGINT AS n_held, n AS n_all FROM r GROUP BY quality, n""")
+def stratified_split(spark, sf):
+    s = model.stratified(_table(spark, sf, "labels"), 0.2, "quality", ["doc_id"])
+    return s.groupBy("quality").agg(F.count_if("held").alias("n_held"), F.count("*").alias("n_all"))
+
+
+BAD = [("S1-1", ["S2-1", "S2-1"]), ("S1-2", []), ("S1-2", ["S1-9", "X-3"]), ("S1-7", ["S3-4", "S2-99"]), ("S1-8", ["S2-2"])]
+
+
+@query("""SELECT * FROM (VALUES ('error', 'duplicate row', 1, 'S1-2'), ('error', 'repeated id in list', 1, 'S1-1'), ('error', 'self match', 1, 'S1-9'), ('error', 'wrong prefix', 1, 'X-3'),
+('error', 'unknown id', 1, 'S2-99'), ('error', 'missing entity', 1, 'S1-3'), ('error', 'extra entity', 1, 'S1-8'), ('warning', 'match outside candidates', 1, 'S1-8')) AS t(severity, rule, n, examples)""")
+def validate_lists(spark, sf):
+    rows = spark.createDataFrame(BAD, "source1_entity_id string, ids array<string>")
+    required = spark.createDataFrame([("S1-1",), ("S1-2",), ("S1-3",), ("S1-7",)], "id string")
+    valid = spark.createDataFrame([("S2-1",), ("S3-4",), ("S2-2",)], "id string")
+    cands = spark.createDataFrame([(s, i) for s, i in BAD if s != "S1-8"], "source1_entity_id string, ids array<string>")
+    out = validate.list_issues(rows, required, valid).union(validate.outside_candidates(rows, cands))
+    return out.select("severity", "rule", F.col("n").cast("int").alias("n"), "examples")
+
+
+# --- learning -----------------------------------------------------------------------------------
+
+
+@query()
+def match_model(spark, sf):
+    """Boosted trees over pair features, calibrated by country on held-out pairs."""
+    _, featured = _featured(spark, sf)
+    rows = model.stratified(featured.cache())
+    trained = model.MatchModel(ModelConfig(rounds=10, depth=4, min_rows=5)).train(rows.where("NOT held"))
+    probable = trained.predict_proba(rows.where("held"))
+    return calibrate.Calibrator().fit(probable).predict(probable).select(S1, C, "country", "label", F.round("probability", 6).alias("probability"), "predicted")
+
+
+@query()
+def blocked_candidates(spark, sf):
+    """All keys and MinHash bands of processed records, capped by tier; one list a record."""
+    a, b = sides(processed(spark, sf))
+    return blocking.candidate_lists(blocking.candidates(a, b, BlockingConfig(name_phonetic=True, addr_phonetic=False, max_candidates=50)), a)
