@@ -40,6 +40,8 @@ NUM, DEN = 4, 5
 FREQUENT, BATCH_COUNT = 100_000, 8
 #: Bytes of index that one task gets; members of a group that one task compares.
 BUCKET_BYTES, GROUP = 16 << 20, 1500
+#: Rows of candidates for a task, besides what one group has.
+TASK_ROWS = 4000
 #: Rows of candidates up to which they are broadcast; beyond, texts are shuffled to them.
 BROADCAST_ROWS = 1_000_000
 
@@ -63,15 +65,23 @@ def shingle_sets(piece: ts.Piece, size: int = SHINGLE) -> list[np.ndarray]:
     return [np.unique(h[a:b]) if b > a else NONE for a, b in zip(edge[:-1], edge[1:])]
 
 
-SHAPE = "struct<n:bigint,frequent:array<struct<h:bigint,n:bigint>>>"
-ARROW = pa.struct([("n", pa.int64()), ("frequent", pa.list_(pa.struct([("h", pa.int64()), ("n", pa.int64())])))])
+SHAPE = "struct<n:bigint,bits:binary,frequent:array<struct<h:bigint,n:bigint>>>"
+ARROW = pa.struct([("n", pa.int64()), ("bits", pa.binary()), ("frequent", pa.list_(pa.struct([("h", pa.int64()), ("n", pa.int64())])))])
+
+
+def bitmap(s: np.ndarray) -> bytes:
+    """A bit for each shingle by the low bits of its hash, two to four bits a shingle."""
+    size = max(64, 1 << int(2 * len(s) - 1).bit_length()) if len(s) else 64
+    bits = np.zeros(size, np.uint8)
+    bits[(s & np.uint64(size - 1)).astype(np.int64)] = 1
+    return np.packbits(bits).tobytes()
 
 
 def _profile(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    """Set sizes; a batch's frequent shingles ride on its first row."""
+    """Set sizes and bitmaps; a batch's frequent shingles ride on its first row."""
     for column in columns:
         sets = [s for p in ts.pieces(column) for s in shingle_sets(p)]
-        rows = [{"n": len(s), "frequent": None} for s in sets]
+        rows = [{"n": len(s), "bits": bitmap(s), "frequent": None} for s in sets]
         if sets:
             every = np.sort(np.concatenate(sets))
             edge = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.zeros(0, np.int64)
@@ -208,56 +218,113 @@ class Group:
         return (DEN * overlap >= NUM * union) & (overlap > 0)
 
 
-def _compare(group: pa.Table) -> pa.Table:
-    """Links of a group that suffice for its components, and who is not linked with the pivot.
+class Classes:
+    """Classes of a group's members, by a label for each; links that join no classes are left out."""
+
+    def __init__(self, n: int):
+        self.label = np.arange(n)
+
+    def join(self, k: int, to: np.ndarray) -> np.ndarray:
+        """Join k's class with those of the members ``to``; one member of each class that was another."""
+        label, one = np.unique(self.label[to], return_index=True)
+        other = label != self.label[k]
+        self.label[np.isin(self.label, label[other])] = self.label[k]
+        return to[one[other]]
+
+
+def _near(table: pa.Table) -> pa.Table:
+    """Groups of sets that their bitmaps don't keep apart, in place of the groups around pivots.
+
+    A bit that one set has and the other hasn't stands for a shingle that they don't share.  Linked
+    sets are in one class of what is left; sets that have nobody left are done.
+    """
+    pivot, text, n = (table.column(c).to_numpy() for c in ("pivot", "text", "n"))
+    bits = table.column("bits").to_pylist()
+    order = np.lexsort((text, pivot))
+    edge = _starts(pivot[order])
+    out = []
+    for a, b in zip(edge.tolist(), [*edge[1:].tolist(), len(order)]):
+        own = order[a:b]
+        own = own[_starts(text[own])]
+        if len(own) < 2:
+            continue
+        size, least = n[own], min(len(bits[k]) for k in own.tolist())
+        maps = np.empty((len(own), least // 8), np.uint64)
+        for i, k in enumerate(own.tolist()):  # a larger bitmap folds to a smaller one
+            maps[i] = np.bitwise_or.reduce(np.frombuffer(bits[k], np.uint8).reshape(-1, least), axis=0).view(np.uint64)
+        classes = Classes(len(own))
+        for k in range(len(own) - 1):
+            rest = np.arange(k + 1, len(own))
+            rest = rest[classes.label[rest] != classes.label[k]]
+            lacks = np.bitwise_count(maps[k] & ~maps[rest]).sum(axis=1, dtype=np.int64)
+            most = size[k] - lacks
+            more = np.bitwise_count(maps[rest] & ~maps[k]).sum(axis=1, dtype=np.int64)
+            most = np.minimum(most, size[rest] - more)
+            classes.join(k, rest[(NUM + DEN) * most >= NUM * (size[k] + size[rest])])
+        label, inverse, many = np.unique(classes.label, return_inverse=True, return_counts=True)
+        stay = many[inverse] > 1
+        first = np.full(len(label), np.iinfo(np.int64).max)
+        np.minimum.at(first, inverse, text[own])
+        out.append(np.stack([text[own][stay], first[inverse][stay]], axis=1))
+    pairs = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
+    return pa.table({"text": pairs[:, 0], "pivot": pairs[:, 1]})
+
+
+def _compare(table: pa.Table) -> pa.Table:
+    """Links that suffice for the components of each group, and who is not linked with the pivot.
 
     role: 0 a member, 1 one to be compared with all members, 2 the pivot.  Where some are marked 1,
     only they ask; otherwise the pivot does, and then all that it isn't linked with.
     """
-    role = group.column("role").to_numpy()
-    texts = group.column("text").to_numpy()
-    order = np.lexsort((-role, texts))
-    order = order[_starts(texts[order])]  # a text may stand in several documents
-    role, texts = role[order], texts[order]
-    sets = [s for p in ts.pieces(group.column("body").combine_chunks().take(pa.array(order))) for s in shingle_sets(p)]
-    g = Group(sets)
-    a, b, rest = [], [], []
-
-    def link(k: int, overlap: np.ndarray, among: np.ndarray) -> np.ndarray:
-        to = g.linked(k, overlap) & among
-        to[k] = False
-        a.append(np.full(int(to.sum()), texts[k]))
-        b.append(texts[to])
+    role, text, pivot, part, block = (table.column(c).to_numpy() for c in ("role", "text", "pivot", "part", "block"))
+    bodies = table.column("body").combine_chunks()
+    order = np.lexsort((-role, text, block, part, pivot))
+    order = order[_starts(pivot[order], part[order], block[order], text[order])]  # a text may stand in several documents
+    edge = _starts(pivot[order], part[order], block[order])
+    a, b, linked = [], [], []
+    for i, j in zip(edge.tolist(), [*edge[1:].tolist(), len(order)]):
+        own = order[i:j]
+        if len(own) > 1:
+            x, y, rest = _links(role[own], text[own], bodies.take(pa.array(own)))
+            a += [*x, *[int(pivot[own[0]])] * len(rest)]
+            b += [*y, *rest]
+            linked += [True] * len(x) + [False] * len(rest)
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "linked": pa.array(linked, pa.bool_())})
+
+
+def _links(role: np.ndarray, texts: np.ndarray, bodies: pa.Array) -> tuple[list[int], list[int], list[int]]:
+    g = Group([s for p in ts.pieces(bodies) for s in shingle_sets(p)])
+    classes, a, b = Classes(len(texts)), [], []
+
+    def link(k: int, overlap: np.ndarray) -> np.ndarray:
+        to = np.flatnonzero(g.linked(k, overlap))
+        for t in classes.join(k, to[to != k]).tolist():
+            a.append(int(texts[k]))
+            b.append(int(texts[t]))
         return to
 
-    everyone = np.ones(len(texts), bool)
     if (role == 1).any():
         last = None
         for k in np.flatnonzero(role == 1).tolist():
             last = (k, g.overlaps(k, last))
-            link(k, last[1], everyone)
-    elif (role == 2).any():
-        pivot = int(np.flatnonzero(role == 2)[0])
-        first = (pivot, g.overlaps(pivot))
-        near = link(pivot, first[1], everyone)
-        near[pivot] = True
-        rest = np.flatnonzero(~near)
-        last = first
-        # the most similar first, so that each one's answers follow from the last one's
-        for k in rest[np.argsort(-first[1][rest], kind="stable")].tolist():
-            last = (k, g.overlaps(k, last))
-            link(k, last[1], everyone)
-        rest = texts[rest].tolist()
-    a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
-    pivots = group.column("pivot")[0].as_py()
-    return pa.table({
-        "a": pa.array([*a.tolist(), *[pivots] * len(rest)], pa.int64()), "b": pa.array([*b.tolist(), *rest], pa.int64()),
-        "linked": pa.array([True] * len(a) + [False] * len(rest), pa.bool_()),
-    })
+            link(k, last[1])
+        return a, b, []
+    if not (role == 2).any():
+        return a, b, []
+    pivot = int(np.flatnonzero(role == 2)[0])
+    last = first = (pivot, g.overlaps(pivot))
+    away = np.ones(len(texts), bool)
+    away[link(pivot, first[1])] = away[pivot] = False
+    rest = np.flatnonzero(away)
+    # the most similar first, so that each one's answers follow from the last one's
+    for k in rest[np.argsort(-first[1][rest], kind="stable")].tolist():
+        last = (k, g.overlaps(k, last))
+        link(k, last[1])
+    return a, b, texts[rest].tolist()
 
 
 def links(docs: DataFrame, rows: DataFrame, *, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """Links (a, b) between text keys that suffice for components; ``rows`` has id, key, n, frequent."""
+    """Links (a, b) between text keys that suffice for components; ``rows`` has id, key, n, bits, frequent."""
     spark = docs.sparkSession
     keyed = docs.select(F.xxhash64(F.col(text)).alias("key"), F.col(id).alias("id"), F.col(text).alias("body"))
     shingles = rows.agg(F.sum("n")).first()[0] or 0
@@ -273,6 +340,15 @@ def links(docs: DataFrame, rows: DataFrame, *, text: str = "text", id: str = "do
     index = keyed.select("key", "body").mapInArrow(_index(buckets, frequent), "bucket int, data binary")
     pairs = settle(index.groupBy("bucket").applyInArrow(_lists, "text bigint, pivot bigint").distinct())
 
+    # groups that one task can hold lose what bitmaps keep apart; larger ones go on whole
+    several = pairs.groupBy("pivot").agg(F.count("*").alias("members"))
+    sized = pairs.join(several, "pivot")
+    held = sized.where(F.col("members") <= GROUP).join(rows.dropDuplicates(["key"]).select(F.col("key").alias("text"), "n", "bits"), "text")
+    tasks = max(4, pairs.count() // TASK_ROWS)
+    held = held.withColumn("task", F.pmod(F.xxhash64("pivot"), F.lit(tasks)).cast("int"))
+    near = held.groupBy("task").applyInArrow(_near, "text bigint, pivot bigint").distinct()
+    pairs = settle(near.union(sized.where(F.col("members") > GROUP).select("text", "pivot")).distinct())
+
     # groups of any size: members are dealt to parts, and the pivot to all of them
     parts = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("parts"))
     dealt = pairs.join(parts, "pivot").withColumn("pivotal", F.col("text") == F.col("pivot"))
@@ -281,10 +357,12 @@ def links(docs: DataFrame, rows: DataFrame, *, text: str = "text", id: str = "do
     dealt = settle(dealt.join(one, dealt["text"] == one["key"]).drop("key"))
 
     def compared(who: DataFrame) -> DataFrame:
-        small = F.broadcast(who) if who.count() <= BROADCAST_ROWS else who
+        n = who.count()
+        small = F.broadcast(who) if n <= BROADCAST_ROWS else who
         there = keyed.join(small, (keyed["key"] == small["text"]) & keyed["id"].eqNullSafe(small["one"]))
-        there = there.select("pivot", "part", "block", "text", "role", "body")
-        return there.groupBy("pivot", "part", "block").applyInArrow(_compare, "a bigint, b bigint, linked boolean")
+        task = F.pmod(F.xxhash64("pivot", "part", "block"), F.lit(max(4, n // TASK_ROWS))).cast("int")
+        there = there.select("pivot", "part", "block", "text", "role", "body", task.alias("task"))
+        return there.groupBy("task").applyInArrow(_compare, "a bigint, b bigint, linked boolean")
 
     found = settle(compared(dealt.withColumn("block", F.lit(0))))
     edges = found.where("linked").select("a", "b")
@@ -308,7 +386,7 @@ def similar(docs: DataFrame, *, text: str = "text", id: str = "doc_id") -> DataF
     """(id, n_shingles, component_id): the least id that links lead to, for each row of ``docs``."""
     sizes = F.arrow_udf(_profile, returnType=SHAPE, functionType=ArrowUDFType.SCALAR_ITER)
     rows = docs.select(F.col(id).alias("id"), F.xxhash64(F.col(text)).alias("key"), sizes(F.col(text)).alias("p"))
-    rows = settle(rows.select("id", "key", "p.n", "p.frequent"))
+    rows = settle(rows.select("id", "key", "p.n", "p.bits", "p.frequent"))
     least = components(links(docs, rows.where("n > 0 OR size(frequent) > 0"), text=text, id=id))
     named = rows.select("id", "key", "n").join(least, F.col("key") == F.col("node"), "left").withColumn("class", F.coalesce("least", "key"))
     first = named.where("n > 0").groupBy("class").agg(F.min("id").alias("first"))
