@@ -215,9 +215,11 @@ def _score_documents(column: pa.Array, h: np.ndarray, values: np.ndarray) -> pa.
     for p in ts.pieces(column):
         t = ts.tokens(p, ts.SPACED)
         own, doc = t.hashes(), t.doc()
-        at = np.minimum(np.searchsorted(h, own), max(len(h) - 1, 0))
-        hit = h[at] == own if len(h) else np.zeros(len(own), bool)
-        v = np.where(hit, values[:, at] if len(h) else 0.0, 0.0)
+        hit, v = np.zeros(len(own), bool), np.zeros((3, len(own)))
+        if len(h):
+            at = np.minimum(np.searchsorted(h, own), len(h) - 1)
+            hit = h[at] == own
+            v = np.where(hit, values[:, at], 0.0)
         rest = np.flatnonzero(~hit)
         order = rest[np.lexsort((own[rest], doc[rest]))]
         new = np.ones(len(order), bool)
