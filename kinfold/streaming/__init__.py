@@ -1,0 +1 @@
+"""Nothing here yet: linkage is a batch dataflow, and none of its operators keeps state over time."""
