@@ -40,8 +40,8 @@ from .store import settle
 SIZE, GRAM = 200, 56
 #: Bytes that one task gets; suffixes of a shard; contexts of an anchor that are merged in one task.
 TASK_BYTES, SHARD, MERGED = 16 << 20, 4096, 20_000
-#: Rows of anchors or passages up to which they are broadcast; beyond, texts are shuffled to them.
-BROADCAST_ROWS = 500_000
+#: Anchors or passages up to which they are broadcast, some 50 bytes each; beyond, texts are shuffled to them.
+BROADCAST_ROWS = 1_000_000
 
 ENTRY = np.dtype([("anchor", "<u8"), ("context", "<u8"), ("text", "<i8"), ("lo", "<u4"), ("span", "<u2"), ("rel", "<u2")])
 #: In ``rel``: the context stands several times in its batch.
@@ -115,7 +115,7 @@ def _index(buckets: int):
             e = e[np.lexsort((e["context"], e["anchor"]))]
             first = _firsts(e["anchor"], e["context"])
             n = _lengths(first, len(e))
-            many = e[np.repeat(n > 1, n)]
+            many = _joined(e[np.repeat(n > 1, n)])
             e = e[first]
             e["rel"][n > 1] |= MULTI
             for kind, rows, by in ((0, e, e["anchor"]), (1, many, many["text"].view(np.uint64))):
@@ -130,6 +130,18 @@ def _index(buckets: int):
     return run
 
 
+def _joined(e: np.ndarray) -> np.ndarray:
+    """Entries of decided places, those that follow one another in a text as one."""
+    e = e[np.lexsort((e["lo"], e["text"]))]
+    end, piece = e["lo"] + e["span"], e["lo"] // 50_000  # a span has 16 bits
+    first = np.flatnonzero(np.concatenate([[True], (e["text"][1:] != e["text"][:-1]) | (e["lo"][1:] > end[:-1] + 1) | (piece[1:] != piece[:-1])])[: len(e)])
+    if len(e):
+        last = np.maximum.reduceat(end, first)
+        e = e[first].copy()
+        e["span"] = last - e["lo"]
+    return e
+
+
 RUNS = "text bigint, lo int, span int, rel int, anchor bigint, kind int"
 
 
@@ -331,7 +343,8 @@ def _removal(texts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
 
 
 def repeated_starts(docs: DataFrame, *, text: str = "text", id: str = "doc_id", merged: int = MERGED, shard: int = SHARD) -> DataFrame:
-    """(text, starts): for each text key, runs (lo, hi) of starts of strings that also start elsewhere.
+    """(text, starts): for each text key, runs (lo, hi) of starts of strings that also start elsewhere,
+    with what lies between starts whose strings meet.
 
     Texts that stand several times are not told apart here: a copy repeats as a whole.
     """
@@ -355,7 +368,14 @@ def repeated_starts(docs: DataFrame, *, text: str = "text", id: str = "doc_id",
         twice = strings.groupBy("h", "g").agg(F.count("*").alias("n")).where("n > 1")
         found = found.union(strings.where("open").join(twice, ["h", "g"], "left_semi").select("text", "lo", F.col("lo").alias("hi")))
     every = runs.where(f"kind = {WHOLE}").select("text", "lo", (F.col("lo") + F.col("span")).alias("hi")).union(found)
-    return every.groupBy("text").agg(F.collect_list(F.struct("lo", "hi")).alias("starts"))
+    united = F.arrow_udf(_united, returnType="array<struct<lo:int,hi:int>>", functionType=ArrowUDFType.SCALAR)
+    return every.groupBy("text").agg(F.collect_list(F.struct("lo", "hi")).alias("starts")).select("text", united("starts").alias("starts"))
+
+
+def _united(rows: pa.Array) -> pa.Array:
+    """Runs of starts whose strings meet, as one run: it covers the same bytes."""
+    kind = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
+    return pa.array(([{"lo": a, "hi": b - SIZE} for a, b in _cover(r.as_py())] for r in rows), kind)
 
 
 def _distinct(t: pa.Table) -> pa.Table:
