@@ -71,13 +71,19 @@ def topk(queries: DataFrame, corpus: DataFrame, k: int, *, by: list[str], query:
 
 def inverted_lists(corpus: DataFrame, vector: str = "vector", lists: int | None = None, seed: int = 42) -> tuple[DataFrame, Callable[[DataFrame, int], DataFrame]]:
     """The corpus with its nearest centroid as ``cell``, and a function that gives queries their
-    nearest ``probes`` cells, one row each.  One list for every hundred rows, 4096 at most."""
+    nearest ``probes`` cells, one row each.  One list for every hundred rows, 4096 at most.
+
+    Vectors without clusters need many cells: random ones reach a recall of 0.9 with two thirds.
+    """
     lists = lists or min(4096, max(1, corpus.count() // 100))
     rows = corpus.withColumn("__v", array_to_vector(F.col(vector).cast("array<double>")))
     model = KMeans(k=max(2, lists), featuresCol="__v", predictionCol="cell", seed=seed, maxIter=10).fit(rows)
     centres = corpus.sparkSession.sparkContext.broadcast(np.array(model.clusterCenters(), np.float32))
 
-    def probe(queries: DataFrame, probes: int) -> DataFrame:
+    def probe(queries: DataFrame, probes: int | float) -> DataFrame:
+        """A number of cells, or a share of them all."""
+        probes = int(np.ceil(probes * len(centres.value))) if isinstance(probes, float) else probes
+
         @F.pandas_udf("array<int>")
         def nearest(v: pd.Series) -> pd.Series:
             q, c = np.stack(v.to_list()).astype(np.float32), centres.value

@@ -290,7 +290,7 @@ def knn_topk(spark, sf):
 def knn_inverted_lists(spark, sf):
     e = _table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
     indexed, probe = knn.inverted_lists(e)
-    q = probe(e.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id"), 4)
+    q = probe(e.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id"), 0.7)
     found = knn.topk(q, indexed, 10, by=["cell"], query="query_id", candidate="vec_id")
     return found.select("query_id", "vec_id", "score", "rank")
 

@@ -144,6 +144,15 @@ def test_knn(spark):
     assert knn.rerank(texts, lambda a, b: [0.25] * len(a)).first().probability == 0.25
 
 
+def test_recall_of_inverted_lists(spark):
+    e = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").select("vec_id", F.col("embedding").alias("vector"), F.lit(1).alias("all"))
+    q = e.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id")
+    indexed, probe = knn.inverted_lists(e)
+    top = lambda a, b, by: {tuple(r) for r in knn.topk(a, b, 10, by=[by], query="query_id", candidate="vec_id").select("query_id", "vec_id").collect()}
+    exact = top(q, e, "all")
+    assert len(top(probe(q, 0.7), indexed, "cell") & exact) >= 0.9 * len(exact)
+
+
 def test_postprocess(spark):
     lists = spark.createDataFrame([(["b", "a", "b"],)], "matched_entity_ids array<string>")
     assert postprocess.deduplicate(lists).first()[0] == ["b", "a"]
