@@ -115,8 +115,13 @@ def ablations(ledgers: DataFrame, policy: str = "full-1", result: str = "ledger"
 
 
 def keep_good(docs: DataFrame, *, policy: str = "full-1", text: str = "text") -> DataFrame:
-    """The documents that a policy keeps."""
-    return ledger(docs, text=text).where(kept(policy)).select(*docs.columns)
+    """The documents that a policy keeps.
+
+    A row number, which the filter reads, keeps the filter above the ledger: pushed below it, every
+    rule would measure the text again.
+    """
+    once = ledger(docs, text=text, result="__ledger").withColumn("__row", F.monotonically_increasing_id())
+    return once.where(kept(policy, "__ledger") & (F.col("__row") >= 0)).select(*docs.columns)
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
