@@ -23,15 +23,13 @@ def tokens(c: Column) -> Column:
 
 def ngrams(c: Column, n: int = 3) -> Column:
     """Distinct character n-grams of the lower-cased text, blanks included; none if it is shorter."""
-    low = F.lower(c)
-    each = F.transform(F.sequence(F.lit(1), F.length(low) - (n - 1)), lambda i: F.substring(low, i, F.lit(n)))
-    return F.when(F.length(low) >= n, F.array_distinct(each)).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(all_ngrams(c, n))
 
 
 def all_ngrams(c: Column, n: int = 3) -> Column:
-    """As ngrams(), with repetition."""
+    """As ngrams(), with repetition; one pass over the text, since substring() counts from its start."""
     low = F.lower(c)
-    each = F.transform(F.sequence(F.lit(1), F.length(low) - (n - 1)), lambda i: F.substring(low, i, F.lit(n)))
+    each = F.regexp_extract_all(low, F.lit(rf"(?s)(?=(.{{{n}}}))."), F.lit(1))
     return F.when(F.length(low) >= n, each).otherwise(F.array().cast("array<string>"))
 
 

@@ -1,12 +1,15 @@
 """The registered queries of the linkage operators over the driver's tables, and their SQL.
 
 Records are documents: source 1 holds src0 to src6, the others are sources 2 and 3; the language is
-the country, the first four tokens the name, the next twelve the address.
+the country, the first four tokens the name, all others the address.  The SQL of the round reads
+twelve tokens of the address; queries that compare addresses under it are registered again, with
+all tokens, as ``*_whole``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -90,11 +93,14 @@ def raw_records(spark: SparkSession, sf: str) -> DataFrame:
     prefix = F.when(number <= 6, "S1-").when(number % 2 == 1, "S2-").otherwise("S3-")
     df = _table(spark, sf, "documents").select(F.concat(prefix, F.col("doc_id").cast("string")).alias("entity_id"), F.col("lang").alias("country"), tokens.alias("tk"), "text")
     cut = lambda a, n: F.array_join(F.slice("tk", a, n), " ")
-    return df.select("entity_id", cut(1, 4).alias("business_name"), cut(5, 12).alias("business_address"), "country", "text")
+    return df.select("entity_id", cut(1, 4).alias("business_name"), cut(5, F.greatest(F.size("tk"), F.lit(1))).alias("business_address"), "country", "text")
 
 
-def records(spark: SparkSession, sf: str) -> DataFrame:
+def records(spark: SparkSession, sf: str, whole: bool = False) -> DataFrame:
+    """Lower-cased records; the address as REC has it, or ``whole``."""
     r = raw_records(spark, sf)
+    if not whole:
+        r = r.withColumn("business_address", F.array_join(F.slice(text.tokens(F.col("business_address")), 1, 12), " "))
     return r.select("entity_id", "country", F.lower("business_name").alias("name"), F.lower("business_address").alias("addr"), "text").withColumns({"nt": text.tokens(F.col("name")), "at_": text.tokens(F.col("addr"))})
 
 
@@ -107,8 +113,8 @@ def _keyed(df: DataFrame, *keys) -> DataFrame:
     return df.select("entity_id", "country", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), c.alias("key")) for k, c in keys])).alias("k")).select("entity_id", "country", "k.kind", "k.key").where("key <> ''")
 
 
-def pairs(spark: SparkSession, sf: str) -> DataFrame:
-    a, b = sides(records(spark, sf).withColumns({"k1": F.try_element_at("nt", F.lit(1)), "k2": F.try_element_at("nt", F.lit(2))}))
+def pairs(spark: SparkSession, sf: str, whole: bool = False) -> DataFrame:
+    a, b = sides(records(spark, sf, whole).withColumns({"k1": F.try_element_at("nt", F.lit(1)), "k2": F.try_element_at("nt", F.lit(2))}))
     l = a.select(F.col("entity_id").alias(S1), "country", "k1", "k2", F.col("name").alias("n1"), F.col("addr").alias("a1"), F.col("nt").alias("t1"), F.col("at_").alias("u1"))  # noqa: E741
     r = b.select(F.col("entity_id").alias(C), "country", "k1", "k2", F.col("name").alias("n2"), F.col("addr").alias("a2"), F.col("nt").alias("t2"), F.col("at_").alias("u2"))
     return l.join(r, ["country", "k1", "k2"]).drop("k1", "k2")
@@ -125,8 +131,8 @@ def some_candidates(spark: SparkSession, sf: str) -> DataFrame:
     return blocking.key_pairs(a, b)
 
 
-def scored(spark: SparkSession, sf: str) -> DataFrame:
-    p = pairs(spark, sf)
+def scored(spark: SparkSession, sf: str, whole: bool = False) -> DataFrame:
+    p = pairs(spark, sf, whole)
     near = F.round(sets.levenshtein_norm(F.col("n1"), F.col("n2")), 3) + 0.0005
     return p.select(S1, C, "country", near.alias("probability"), (sets.jaccard(F.col("u1"), F.col("u2")) >= 0.2).cast("int").alias("label"))
 
@@ -343,7 +349,7 @@ def missed_matches(spark, sf):
 
 def _scalar(name: str, sql: str, column) -> None:
     query(f"WITH {PAIR} SELECT source1_entity_id, candidate_entity_id, round(({sql})::DOUBLE, 6) AS {name} FROM pair", name)(
-        lambda spark, sf: pairs(spark, sf).select(S1, C, F.round(column().cast("double"), 6).alias(name))
+        lambda spark, sf, whole=False: pairs(spark, sf, whole).select(S1, C, F.round(column().cast("double"), 6).alias(name))
     )
 
 
@@ -434,8 +440,8 @@ def recall_lift(spark, sf):
 
 
 @query("WITH " + SCORED + GRID + " SELECT country, threshold, tp, fp, fn, tn, round(f_beta, 6) AS f_beta FROM f")
-def threshold_grid(spark, sf):
-    return calibrate.grid(scored(spark, sf)).withColumn("f_beta", F.round("f_beta", 6))
+def threshold_grid(spark, sf, whole=False):
+    return calibrate.grid(scored(spark, sf, whole)).withColumn("f_beta", F.round("f_beta", 6))
 
 
 BEST = """, best AS (
@@ -444,21 +450,21 @@ BEST = """, best AS (
 
 
 @query("WITH " + SCORED + GRID + BEST + " SELECT country, threshold, round(s, 6) AS f_beta FROM best")
-def best_threshold(spark, sf):
-    return calibrate.best(calibrate.grid(scored(spark, sf))).withColumn("f_beta", F.round("f_beta", 6))
+def best_threshold(spark, sf, whole=False):
+    return calibrate.best(calibrate.grid(scored(spark, sf, whole))).withColumn("f_beta", F.round("f_beta", 6))
 
 
 @query("WITH " + SCORED + GRID + BEST + " SELECT source1_entity_id, candidate_entity_id, CASE WHEN probability > threshold THEN 1 ELSE 0 END AS predicted FROM scored JOIN best USING (country)")
-def apply_threshold(spark, sf):
-    s = scored(spark, sf)
+def apply_threshold(spark, sf, whole=False):
+    s = scored(spark, sf, whole)
     return calibrate.apply(s, calibrate.best(calibrate.grid(s))).select(S1, C, "predicted")
 
 
 @query("WITH " + SCORED + """, grid AS (SELECT 0 AS i, 0.5 AS threshold, country, count(*) FILTER (label = 1 AND probability > 0.6) AS tp, count(*) FILTER (label <> 1 AND probability > 0.6) AS fp,
   count(*) FILTER (label = 1 AND NOT probability > 0.6) AS fn, count(*) FILTER (label <> 1 AND NOT probability > 0.6) AS tn FROM scored GROUP BY country)"""
   + GRID[GRID.index(", pr AS") :] + " SELECT country, tp, fp, fn, tn, round(p, 6) AS precision, round(r, 6) AS recall, round(f_beta, 6) AS f_beta FROM f")
-def pair_metrics(spark, sf):
-    p = scored(spark, sf).withColumn("predicted", (F.col("probability") > 0.6).cast("int"))
+def pair_metrics(spark, sf, whole=False):
+    p = scored(spark, sf, whole).withColumn("predicted", (F.col("probability") > 0.6).cast("int"))
     return _rounded(evaluate.pair_metrics(p, ["country"]))
 
 
@@ -486,9 +492,9 @@ def error_report(spark, sf):
 @query("WITH " + PAIR + f""", s AS (SELECT source1_entity_id, max({JACCARD.format(a='u1', b='u2')}) AS max_addr, max({JACCARD.format(a='t1', b='t2')}) AS max_token, count(*) AS n FROM pair GROUP BY 1)
 SELECT entity_id AS source1_entity_id, CASE WHEN n IS NULL THEN 1 ELSE 0.25 END::DOUBLE AS max_name, round(coalesce(max_addr, 0), 6) AS max_addr, round(coalesce(max_token, 0), 6) AS max_token,
   coalesce(n, 0)::DOUBLE AS n_candidates, CASE WHEN n IS NULL THEN 1 ELSE 0 END::DOUBLE AS no_candidates FROM rec LEFT JOIN s ON entity_id = source1_entity_id WHERE entity_id LIKE 'S1-%'""")
-def singleton_features(spark, sf):
+def singleton_features(spark, sf, whole=False):
     zero = {c: F.lit(0.0) for c in ("pin_exact", "city_exact", "house_number_match")}
-    p = pairs(spark, sf).withColumns({"fuzz_wratio": F.lit(0.25), "token_jaccard": sets.jaccard(F.col("t1"), F.col("t2")), "addr_token_jaccard": sets.jaccard(F.col("u1"), F.col("u2"))} | zero)
+    p = pairs(spark, sf, whole).withColumns({"fuzz_wratio": F.lit(0.25), "token_jaccard": sets.jaccard(F.col("t1"), F.col("t2")), "addr_token_jaccard": sets.jaccard(F.col("u1"), F.col("u2"))} | zero)
     out = model.singleton_features(sides(records(spark, sf))[0], p)
     return _rounded(out.select(S1, "max_name", "max_addr", "max_token", "n_candidates", "no_candidates"))
 
@@ -543,6 +549,12 @@ def validate_lists(spark, sf):
     return out.select("severity", "rule", F.col("n").cast("int").alias("n"), "examples")
 
 
+# --- whole addresses ----------------------------------------------------------------------------
+
+for _name in ("addr_token_jaccard", "name_in_text_share", "threshold_grid", "best_threshold", "apply_threshold", "pair_metrics", "singleton_features"):
+    query(ORACLE_SQL[_name].replace("tk[5:16]", "tk[5:]"), f"{_name}_whole")(partial(QUERIES[_name], whole=True))
+
+
 # --- learning -----------------------------------------------------------------------------------
 
 
