@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,12 +32,32 @@ def exact_keys(records: DataFrame, cfg: BlockingConfig = BlockingConfig()) -> Da
     return keys.select("entity_id", "country", "k.kind", "k.key").where("key <> ''")
 
 
+@lru_cache
+def _signer(permutations: int):
+    """Least values of multiply-add permutations, over the hashes of a set."""
+    rng = np.random.default_rng(42)
+    odd, add = (rng.integers(0, 1 << 64, permutations, dtype=np.uint64) for _ in range(2))
+    odd |= np.uint64(1)
+
+    @F.pandas_udf("array<bigint>")
+    def signed(hashes: pd.Series) -> pd.Series:
+        def sign(h):
+            if h is None or not len(h):
+                return None
+            u = np.asarray(h, dtype=np.int64).view(np.uint64)
+            least = [(u[k : k + 4096, None] * odd + add).min(axis=0) for k in range(0, len(u), 4096)]
+            return np.min(least, axis=0).view(np.int64)
+
+        return hashes.map(sign)
+
+    return signed
+
+
 def minhash(ngrams: Column, permutations: int, hashed: str = "xxhash64") -> Column:
     """The least hash of a set under each permutation; with md5 any SQL engine gives the same."""
-    if hashed == "md5":
-        of = lambda seed: lambda g: F.md5(F.concat(seed.cast("string"), F.lit("|"), g))
-    else:
-        of = lambda seed: lambda g: F.xxhash64(seed, g)
+    if hashed != "md5":
+        return _signer(permutations)(F.transform(ngrams, lambda g: F.xxhash64(g)))
+    of = lambda seed: lambda g: F.md5(F.concat(seed.cast("string"), F.lit("|"), g))
     return F.transform(F.sequence(F.lit(0), F.lit(permutations - 1)), lambda seed: F.array_min(F.transform(ngrams, of(seed))))
 
 

@@ -572,4 +572,4 @@ def match_model(spark, sf):
 def blocked_candidates(spark, sf):
     """All keys and MinHash bands of processed records, capped by tier; one list a record."""
     a, b = sides(processed(spark, sf))
-    return blocking.candidate_lists(blocking.candidates(a, b, BlockingConfig(name_phonetic=True, addr_phonetic=False, max_candidates=50)), a)
+    return blocking.candidate_lists(blocking.candidates(a, b, BlockingConfig()), a)
