@@ -1,7 +1,8 @@
 """Personal data by bootstrapped contextual extraction, in DataFrame functions alone.
 
 Base kinds are found by their patterns.  They seed a bipartite graph of lexical patterns (the words
-before a number-like token) and instances (the token): a pattern is as reliable as the share of
+before a base span, of any kind, or a number-like token outside spans) and instances (the span or
+token): a pattern is as reliable as the share of
 its instances that are believed, an instance is believed as far as its most reliable pattern, and
 both are scored in turn.  Patterns that end up reliable and well supported report the tokens behind
 them that no base pattern knows, as kind ``context``.
@@ -85,8 +86,8 @@ def _base(text: Column) -> dict[str, Column]:
 
 
 def scan(docs: DataFrame, *, text: str = "text", result: str = "pii") -> DataFrame:
-    """``docs`` with a struct column: base spans by start and kind, and number-like tokens that may
-    be unseen identifiers, with their patterns and whether a base span holds them."""
+    """``docs`` with a struct column: base spans by start and kind; with their patterns, the base spans
+    as seeds and the number-like tokens outside them, which may be unseen identifiers."""
     whole = F.coalesce(F.col(text), F.lit(""))
     found = docs.withColumn("__found", F.struct(*[c.alias(k) for k, c in _base(whole).items()]))
     empty = F.lit([]).cast("array<struct<start:int,end:int,value:string,tail:string>>")
@@ -98,14 +99,22 @@ def scan(docs: DataFrame, *, text: str = "text", result: str = "pii") -> DataFra
     core = lambda v: F.regexp_replace(F.regexp_replace(v, "^[^0-9A-Za-z+]+", ""), "[^0-9A-Za-z]+$", "")
     cue = lambda t, p: F.lower(F.regexp_replace(F.regexp_extract(t, p, 1), r"[0-9]+", "0"))
 
+    told = lambda tail: F.filter(F.array(cue(tail, CUE), cue(tail, LABEL)), lambda x: x != "")
+
     def token(p: Column) -> Column:
         start, value = p["start"] + head(p["value"]), core(p["value"])
-        end = start + F.length(value)
-        seed = F.exists("__spans", lambda s: (s["start"] < end) & (start < s["end"]))
-        patterns = F.filter(F.array(cue(p["tail"], CUE), cue(p["tail"], LABEL)), lambda x: x != "")
-        return F.struct(start.alias("start"), end.alias("end"), value.alias("value"), seed.alias("seed"), patterns.alias("patterns"))
-
-    tokens = F.filter(F.transform("__tokens", token), lambda t: F.size(t["patterns"]) > 0)
+        return F.struct(start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value"), F.lit(False).alias("seed"), told(p["tail"]).alias("patterns"))
+
+    def seed(p: Column) -> Column:
+        # as with tokens, what is joined to the value is none of the words before it
+        before = F.regexp_replace(p["tail"], r"\S+$", "")
+        return F.struct(p["start"].alias("start"), p["end"].alias("end"), p["value"].alias("value"), F.lit(True).alias("seed"), told(before).alias("patterns"))
+
+    outside = F.filter(F.transform("__tokens", token), lambda t: ~F.exists("__spans", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
+    # a span that begins inside another is no identifier of its own, and its words are the other's inside
+    inside = lambda p: F.exists("__spans", lambda s: ((s["start"] < p["start"]) & (p["start"] < s["end"])) | ((s["start"] == p["start"]) & (s["end"] > p["end"])))
+    seeds = F.concat(*[F.transform(F.filter(f"__found.{k}", lambda p: ~inside(p)), seed) for k in KINDS])
+    tokens = F.filter(F.concat(seeds, outside), lambda t: F.size(t["patterns"]) > 0)
     spans = F.transform("__spans", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
     counts = [F.size(f"__found.{k}").cast("long").alias(f"n_{k}") for k in KINDS]
     return found.withColumn(result, F.struct(*counts, spans.alias("spans"), tokens.alias("tokens"))).drop("__found", "__tokens", "__spans")
