@@ -78,12 +78,18 @@ def schedule(goal: DataFrame, *, block: int = BLOCK) -> DataFrame:
     taken = points.join(cells, "cell").where("lo <= point AND point < hi").select(F.col("id").alias("slot"), "source_no", "target", F.floor(F.col("id") / CHUNK).alias("chunk"))
     counts = taken.groupBy("source_no", "chunk").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("source_no").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    got = counts.groupBy("source_no").agg(F.sum("n").alias("got"))
     counts = counts.select("source_no", "chunk", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("ahead"))
     rank = F.row_number().over(Window.partitionBy("source_no", "chunk").orderBy("slot")) - 1
     ranked = taken.withColumn("rank", rank).join(counts, ["source_no", "chunk"])
     ranked = ranked.withColumn("block", F.col("ahead") + F.col("rank"))
-    # the schedule runs on a little so that rare sources get their last block; what is beyond a target is left
-    return ranked.withColumn("words", F.least(F.lit(block), F.floor("target") - F.col("block") * block)).where("words > 0").select("slot", "source_no", "block", "words")
+    # what points have left out of a source, a block or two, comes after the last slot
+    need, first = F.ceil(F.floor("target") / block), F.coalesce("got", F.lit(0))
+    missing = goal.select("source_no", "target").join(got, "source_no", "left").where(need > first).select("source_no", "target", F.explode(F.sequence(first, need - 1)).alias("block"))
+    missing = missing.select((F.lit(slots) + F.col("block") * most + F.col("source_no")).alias("slot"), "source_no", "target", "block")
+    every = ranked.select("slot", "source_no", "target", "block").union(missing)
+    # the schedule runs on a little so that few blocks are missing; what is beyond a target is left
+    return every.withColumn("words", F.least(F.lit(block), F.floor("target") - F.col("block") * block)).where("words > 0").select("slot", "source_no", "block", "words")
 
 
 def mix(docs: DataFrame, *, text: str = "text", source: str = "source", id: str = "doc_id", weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, repeat: int = 2, block: int = BLOCK) -> DataFrame:
