@@ -15,8 +15,13 @@ all texts; the order changes what is compared, never what is found.
 
 Defined results: a null text or one without words has an empty set and is linked with nothing; a
 text of fewer words than a shingle is one shingle; equal texts are one set; null ids are never a
-component's name; an empty table gives an empty result.  Texts and shingles are told apart by
-64-bit hashes.
+component's name, unless all of its ids are null; ties don't arise, since only the least id names a
+component; repeated rows are copies; very long texts are one set like all others; an empty table
+gives an empty result.
+
+Texts are named by a hash that is checked against a second one; texts that share the first are
+named by the second.  Candidates come from hashes of shingles, and links are decided by the words
+themselves, numbered within a group.
 """
 
 from __future__ import annotations
@@ -25,23 +30,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import ArrowUDFType
 
 from . import textscan as ts
 from .components import components
-from .store import settle
+from .store import forget, settle
 
 SHINGLE = 5
 #: A pair is linked from NUM / DEN on.
 NUM, DEN = 4, 5
 #: Shingles held as frequent at most, and the documents of a batch from which one counts as such.
 FREQUENT, BATCH_COUNT = 100_000, 8
-#: Bytes of index that one task gets; members of a group that one task compares.
-BUCKET_BYTES, GROUP = 16 << 20, 1500
+#: Bytes of index that one task gets; entries from which a list isn't gathered.
+BUCKET_BYTES, HOT_LIST = 16 << 20, 500_000
+#: Members of a group whose bitmaps one task compares, and whose texts it compares.
+GROUP, PART = 1500, 400
 #: Rows of candidates for a task, besides what one group has.
-TASK_ROWS = 4000
+TASK_ROWS = 1000
 #: Rows of candidates up to which they are broadcast; beyond, texts are shuffled to them.
 BROADCAST_ROWS = 1_000_000
 
@@ -143,49 +150,151 @@ def _starts(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _skip(e: np.ndarray, band: np.ndarray) -> np.ndarray:
-    """Which entries stay, given lists in order of key and band.
+def _skip(e: np.ndarray, band: np.ndarray, least: np.ndarray | None = None) -> tuple[np.ndarray, int, int]:
+    """(entries that stay, blocks, blocks skipped), for entries in order of key, band, size and position.
 
     A first shared shingle at position i of a set of n leaves an overlap of n - i at most, so the
-    other set has at most (1 + 1/t) (n - i) - n shingles.  A list's least size decides for whole
-    blocks of positions at once.
+    other set has at most (1 + 1/t) (n - i) - n shingles.  For a block, sets of one size in one
+    list, that and the list's least size give the last position to read.
     """
-    starts = _starts(e["key"], band)
-    lengths = np.diff(np.append(starts, len(e)))
-    least = np.repeat(np.minimum.reduceat(e["n"].astype(np.int64), starts), lengths)
     n, at = e["n"].astype(np.int64), e["at"].astype(np.int64)
-    return (NUM + DEN) * (n - at) - NUM * n >= NUM * least
+    lists, blocks = _starts(e["key"], band), _starts(e["key"], band, e["n"])
+    if least is None:  # sizes ascend in a list
+        least = n[lists][np.searchsorted(lists, blocks, "right") - 1]
+    else:
+        least = least[blocks]
+    last = (DEN * n[blocks] - NUM * least) // (NUM + DEN)
+    read = np.flatnonzero(at[blocks] <= last)
+    begin, end = blocks[read], np.append(blocks[1:], len(e))[read]
+    # bisection of all blocks at once
+    lo, hi = begin.copy(), end.copy()
+    while (lo < hi).any():
+        mid = (lo + hi) // 2
+        right = (lo < hi) & (at[np.minimum(mid, len(e) - 1)] <= last[read])
+        lo, hi = np.where(right, mid + 1, lo), np.where(right | (lo >= hi), hi, mid)
+    count = lo - begin
+    stay = np.arange(count.sum()) + np.repeat(begin - np.cumsum(count) + count, count)
+    return stay, len(blocks), len(blocks) - len(read)
+
+
+def _entries(data: list[bytes]) -> np.ndarray:
+    """Entries of packed rows, a text once in a list."""
+    e = np.concatenate([np.empty(0, ENTRY), *[np.frombuffer(x, ENTRY) for x in data]])
+    e = e[np.lexsort((e["text"], e["key"]))]
+    return e[_starts(e["key"], e["text"])]
+
+
+def _banded(e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lists by key and band of sizes, in order: sizes of linked sets differ by 1 / t at most, so
+    they are in one band or in neighbouring ones, and every set stands in two."""
+    band = np.floor(np.log(np.maximum(e["n"], 1)) / np.log(DEN / NUM) * (1 - 1e-12)).astype(np.int64)
+    e, band = np.concatenate([e, e]), np.concatenate([band, band + 1])
+    order = np.lexsort((e["text"], e["at"], e["n"], band, e["key"]))
+    return e[order], band[order]
+
+
+def _pairs(text: np.ndarray, pivot: np.ndarray) -> np.ndarray:
+    return np.unique(np.stack([text, pivot], axis=1), axis=0) if len(text) else np.zeros((0, 2), np.int64)
 
 
 def _lists(buckets: pa.Table) -> pa.Table:
     """(text, pivot) for every list that can hold a linked pair."""
-    e = np.concatenate([np.frombuffer(x.as_py(), ENTRY) for x in buckets.column("data")])
-    e = e[np.lexsort((e["text"], e["key"]))]
-    e = e[_starts(e["key"], e["text"])]
-    lone = np.diff(np.append(_starts(e["key"]), len(e))) == 1
-    e = e[~np.repeat(lone, np.diff(np.append(_starts(e["key"]), len(e))))]
-    if not len(e):
-        return pa.table({"text": pa.array([], pa.int64()), "pivot": pa.array([], pa.int64())})
-    # sizes of linked sets differ by 1 / t at most: they are in one band or in neighbouring ones
-    band = np.floor(np.log(e["n"]) / np.log(DEN / NUM) * (1 - 1e-12)).astype(np.int64)
-    e, band = np.concatenate([e, e]), np.concatenate([band, band + 1])
-    order = np.lexsort((e["text"], band, e["key"]))
-    e, band = e[order], band[order]
+    e = _entries(buckets.column("data").to_pylist())
+    n = np.diff(np.append(_starts(e["key"]), len(e)))
+    e, band = _banded(e[np.repeat(n > 1, n)])
     for _ in range(2):
-        stay = _skip(e, band)
+        stay, _, _ = _skip(e, band)
         e, band = e[stay], band[stay]
-        starts = _starts(e["key"], band)
-        n = np.diff(np.append(starts, len(e)))
+        n = np.diff(np.append(_starts(e["key"], band), len(e)))
         many = np.repeat(n > 1, n)
         e, band = e[many], band[many]
-        if not len(e):
-            return pa.table({"text": pa.array([], pa.int64()), "pivot": pa.array([], pa.int64())})
     starts = _starts(e["key"], band)
-    pivot = np.repeat(np.minimum.reduceat(e["text"], starts), np.diff(np.append(starts, len(e))))
-    pairs = np.unique(np.stack([e["text"], pivot], axis=1), axis=0)
+    pivot = np.repeat(np.minimum.reduceat(e["text"], starts), np.diff(np.append(starts, len(e)))) if len(e) else e["text"]
+    pairs = _pairs(e["text"], pivot)
     return pa.table({"text": pairs[:, 0], "pivot": pairs[:, 1]})
 
 
+def _partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Least text, least size and count of each list in a packed row."""
+    for batch in batches:
+        for data in batch.column("data"):
+            e, band = _banded(_entries([data.as_py()]))
+            starts = _starts(e["key"], band)
+            if len(starts):
+                columns = [e["key"][starts].view(np.int64), band[starts], np.minimum.reduceat(e["text"], starts), e["n"][starts].astype(np.int64), np.diff(np.append(starts, len(e)))]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["key", "band", "pivot", "least", "n"])
+
+
+def _hot_pairs(hot):
+    """(text, pivot) of entries in hot lists, read block by block where they lie."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, bands, pivots, leasts = hot.value
+        for batch in batches:
+            for data in batch.column("data"):
+                e, band = _banded(_entries([data.as_py()]))
+                at = _place(keys, bands, e["key"], band)
+                e, band, at = e[at >= 0], band[at >= 0], at[at >= 0]
+                if len(e):
+                    stay, _, _ = _skip(e, band, leasts[at])
+                    pairs = _pairs(e["text"][stay], pivots[at[stay]])
+                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["text", "pivot"])
+
+    return run
+
+
+def _place(keys: np.ndarray, bands: np.ndarray, key: np.ndarray, band: np.ndarray) -> np.ndarray:
+    """Places of (key, band) in a table of distinct ones, -1 where they aren't in it."""
+    k, b = np.concatenate([keys, key]), np.concatenate([bands, band])
+    order = np.lexsort((b, k))  # stable, so that the table's row comes first
+    starts = _starts(k[order], b[order])
+    first = np.empty(len(k), np.int64)
+    first[order] = np.repeat(order[starts], np.diff(np.append(starts, len(order))))
+    return np.where(first < len(keys), first, -1)[len(keys) :]
+
+
+def _without(hot):
+    """Packed rows without the entries of keys that have a hot list in each band they are in."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, bands, _, _ = hot.value
+        for batch in batches:
+            rows = []
+            for data in batch.column("data"):
+                e = _entries([data.as_py()])
+                band = np.floor(np.log(np.maximum(e["n"], 1)) / np.log(DEN / NUM) * (1 - 1e-12)).astype(np.int64)
+                gone = (_place(keys, bands, e["key"], band) >= 0) & (_place(keys, bands, e["key"], band + 1) >= 0)
+                rows.append(e[~gone].tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("bucket"), pa.array(rows, pa.binary())], names=["bucket", "data"])
+
+    return run
+
+
+def exact_sets(bodies: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
+    """The shingles of each text as sorted numbers; equal numbers are equal words, one by one."""
+    words, bounds = [], [np.zeros(1, np.int64)]
+    for p in ts.pieces(bodies):
+        t = ts.tokens(p, ts.SPACED)
+        words.append(ts.gather(t.lower, t.start, t.end))
+        bounds.append(bounds[-1][-1] + t.bounds[1:])
+    bounds = np.concatenate(bounds)
+    if not bounds[-1]:
+        return [NONE] * (len(bounds) - 1)
+    coded = pa.chunked_array(words).dictionary_encode().combine_chunks()
+    coded = coded if isinstance(coded, pa.DictionaryArray) else coded.chunk(0)
+    ids = np.append(coded.indices.to_numpy().astype(np.int64), np.zeros(size, np.int64))
+    n = np.diff(bounds)
+    runs, length = np.maximum(n - size + 1, np.minimum(n, 1)), np.minimum(n, size)
+    doc = np.repeat(np.arange(len(n)), runs)
+    first = np.arange(len(doc)) - np.repeat(np.cumsum(runs) - runs, runs) + bounds[:-1][doc]
+    name = length[doc]
+    for k in range(size):  # numbers of runs, a word longer each round
+        word = np.where(k < length[doc], ids[first + k] + 1, 0)
+        name = np.unique(name * (len(coded.dictionary) + 2) + word, return_inverse=True)[1]
+    edge = np.concatenate([[0], np.cumsum(runs)])
+    return [np.unique(name[a:b]) for a, b in zip(edge[:-1].tolist(), edge[1:].tolist())]
+
+
 class Group:
     """Sets with a posting list for each shingle."""
 
@@ -293,7 +402,7 @@ def _compare(table: pa.Table) -> pa.Table:
 
 
 def _links(role: np.ndarray, texts: np.ndarray, bodies: pa.Array) -> tuple[list[int], list[int], list[int]]:
-    g = Group([s for p in ts.pieces(bodies) for s in shingle_sets(p)])
+    g = Group(exact_sets(bodies))
     classes, a, b = Classes(len(texts)), [], []
 
     def link(k: int, overlap: np.ndarray) -> np.ndarray:
@@ -323,10 +432,58 @@ def _links(role: np.ndarray, texts: np.ndarray, bodies: pa.Array) -> tuple[list[
     return a, b, texts[rest].tolist()
 
 
-def links(docs: DataFrame, rows: DataFrame, *, text: str = "text", id: str = "doc_id") -> DataFrame:
+def _heavy(index: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The index without hot lists, and their (text, pivot); a hot list is never in one task.
+
+    Only buckets beyond their share are looked into.  Hot lists are as many as the whole index has
+    entries over HOT_LIST at most, which bounds what the driver sees.
+    """
+    spark = index.sparkSession
+    size = F.sum(F.octet_length("data"))
+    heavy = index.groupBy("bucket").agg(size.alias("bytes")).where(F.col("bytes") > max(4 * BUCKET_BYTES, HOT_LIST * ENTRY.itemsize)).select("bucket")
+    heavy = [r.bucket for r in heavy.collect()]  # fewer than a fourth of the buckets
+    if not heavy:
+        return index, None
+    own = index.where(F.col("bucket").isin(heavy))
+    lists = own.select("data").mapInArrow(_partial, "key bigint, band bigint, pivot bigint, least bigint, n bigint")
+    lists = lists.groupBy("key", "band").agg(F.min("pivot").alias("pivot"), F.min("least").alias("least"), F.sum("n").alias("n"))
+    hot = lists.where(F.col("n") > HOT_LIST).drop("n").toArrow()
+    if not len(hot):
+        return index, None
+    columns = [hot.column(c).to_numpy() for c in ("key", "band", "pivot", "least")]
+    known = spark.sparkContext.broadcast((columns[0].view(np.uint64), *columns[1:]))
+    rest = own.mapInArrow(_without(known), "bucket int, data binary")
+    return index.where(~F.col("bucket").isin(heavy)).union(rest), own.select("data").mapInArrow(_hot_pairs(known), "text bigint, pivot bigint")
+
+
+def name(text: Column) -> Column:
+    return F.xxhash64(text)
+
+
+def check(text: Column) -> Column:
+    """Beside name(): two texts with both in common are one text."""
+    return F.xxhash64(F.lit(0x51CED), F.length(text), text)
+
+
+def names(rows: DataFrame) -> list[int]:
+    """Names that several texts share, of rows with ``key`` and ``check``; by chance there are none
+    or a few."""
+    shared = rows.groupBy("key").agg(F.min("check").alias("a"), F.max("check").alias("b")).where("a <> b").select("key")
+    shared = [r.key for r in shared.limit(10_001).collect()]
+    if len(shared) > 10_000:
+        raise ValueError("over 10,000 names are shared by several texts")
+    return shared
+
+
+def resolved(shared: list[int]) -> Column:
+    return F.when(F.col("key").isin(shared), F.col("check")).otherwise(F.col("key")) if shared else F.col("key")
+
+
+def links(docs: DataFrame, rows: DataFrame, *, text: str = "text", id: str = "doc_id", shared: list[int] = ()) -> DataFrame:
     """Links (a, b) between text keys that suffice for components; ``rows`` has id, key, n, bits, frequent."""
     spark = docs.sparkSession
-    keyed = docs.select(F.xxhash64(F.col(text)).alias("key"), F.col(id).alias("id"), F.col(text).alias("body"))
+    keyed = docs.select(name(F.col(text)).alias("key"), check(F.col(text)).alias("check"), F.col(id).alias("id"), F.col(text).alias("body"))
+    keyed = keyed.select(resolved(shared).alias("key"), "id", "body")
     shingles = rows.agg(F.sum("n")).first()[0] or 0
     counts = rows.select(F.explode("frequent").alias("f")).groupBy("f.h").agg(F.sum("f.n").alias("n"))
     top = counts.orderBy(F.desc("n"), "h").limit(FREQUENT).toArrow()  # FREQUENT rows at most
@@ -336,9 +493,12 @@ def links(docs: DataFrame, rows: DataFrame, *, text: str = "text", id: str = "do
     order = np.argsort(h)
     frequent = spark.sparkContext.broadcast((h[order], rank[order]) if len(h) else ())
 
-    buckets = max(4, -(-int(shingles * (DEN - NUM) / DEN * ENTRY.itemsize) // BUCKET_BYTES))
-    index = keyed.select("key", "body").mapInArrow(_index(buckets, frequent), "bucket int, data binary")
-    pairs = settle(index.groupBy("bucket").applyInArrow(_lists, "text bigint, pivot bigint").distinct())
+    buckets = max(16, -(-int(shingles * (DEN - NUM) / DEN * ENTRY.itemsize) // BUCKET_BYTES))
+    index = settle(keyed.select("key", "body").mapInArrow(_index(buckets, frequent), "bucket int, data binary"))
+    cool, hot = _heavy(index)
+    found = cool.groupBy("bucket").applyInArrow(_lists, "text bigint, pivot bigint")
+    pairs = settle((found.union(hot) if hot is not None else found).distinct())
+    forget(spark, index)
 
     # groups that one task can hold lose what bitmaps keep apart; larger ones go on whole
     several = pairs.groupBy("pivot").agg(F.count("*").alias("members"))
@@ -350,7 +510,7 @@ def links(docs: DataFrame, rows: DataFrame, *, text: str = "text", id: str = "do
     pairs = settle(near.union(sized.where(F.col("members") > GROUP).select("text", "pivot")).distinct())
 
     # groups of any size: members are dealt to parts, and the pivot to all of them
-    parts = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("parts"))
+    parts = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
     dealt = pairs.join(parts, "pivot").withColumn("pivotal", F.col("text") == F.col("pivot"))
     dealt = dealt.select("text", "pivot", "parts", F.explode(F.when(F.col("pivotal"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(F.pmod(F.xxhash64("text"), F.col("parts")).cast("int")))).alias("part"), F.when(F.col("pivotal"), 2).otherwise(0).alias("role"))
     one = rows.groupBy("key").agg(F.min("id").alias("one"))
@@ -372,7 +532,7 @@ def links(docs: DataFrame, rows: DataFrame, *, text: str = "text", id: str = "do
     rest = rest.join(many.select("pivot", "parts").distinct(), "pivot")
     if not rest.isEmpty():
         one = rows.groupBy("key").agg(F.min("id").alias("one"))
-        blocks = rest.groupBy("pivot").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("blocks"))
+        blocks = rest.groupBy("pivot").agg(F.ceil(F.count("*") / PART).cast("int").alias("blocks"))
         asks = rest.join(blocks, "pivot").withColumn("block", F.pmod(F.xxhash64(F.lit(1), "text"), F.col("blocks")).cast("int"))
         asks = asks.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).join(one, F.col("text") == F.col("key"))
         asked = many.where("role = 0").join(blocks, "pivot").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -385,9 +545,11 @@ def links(docs: DataFrame, rows: DataFrame, *, text: str = "text", id: str = "do
 def similar(docs: DataFrame, *, text: str = "text", id: str = "doc_id") -> DataFrame:
     """(id, n_shingles, component_id): the least id that links lead to, for each row of ``docs``."""
     sizes = F.arrow_udf(_profile, returnType=SHAPE, functionType=ArrowUDFType.SCALAR_ITER)
-    rows = docs.select(F.col(id).alias("id"), F.xxhash64(F.col(text)).alias("key"), sizes(F.col(text)).alias("p"))
-    rows = settle(rows.select("id", "key", "p.n", "p.bits", "p.frequent"))
-    least = components(links(docs, rows.where("n > 0 OR size(frequent) > 0"), text=text, id=id))
+    rows = docs.select(F.col(id).alias("id"), name(F.col(text)).alias("key"), check(F.col(text)).alias("check"), sizes(F.col(text)).alias("p"))
+    rows = settle(rows.select("id", "key", "check", "p.n", "p.bits", "p.frequent"))
+    shared = names(rows)
+    rows = rows.withColumn("key", resolved(shared)).drop("check")
+    least = components(links(docs, rows.where("n > 0 OR size(frequent) > 0"), text=text, id=id, shared=shared))
     named = rows.select("id", "key", "n").join(least, F.col("key") == F.col("node"), "left").withColumn("class", F.coalesce("least", "key"))
     first = named.where("n > 0").groupBy("class").agg(F.min("id").alias("first"))
     out = named.join(first, "class", "left")

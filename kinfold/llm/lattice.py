@@ -8,13 +8,15 @@ every word spellable.  A text ends with an end mark.
 
 A word's score depends on the word alone, so lattices run over the table of distinct words.  That
 table grows with the corpus: its most frequent words, at most ``HEAD``, are broadcast for a second
-scan of the texts, and occurrences of all others are joined by hash.
+scan of the texts, and occurrences of all others are joined.
 
 Beside it stands the base model: add-one counts of training words and end marks.
 
 Defined results: a null or empty text is its end mark; a null id trains; without training rows
-counts are 0 and pieces keep their start; an empty table gives an empty result.  Words are told
-apart by a 64-bit hash of their bytes.  Columns named like the result are replaced.
+counts are 0 and pieces keep their start; an empty table gives an empty result; very long words
+run alone, in time and memory linear in their length; repeated rows and equal texts count and score
+one by one.  The table of words is grouped by the words themselves, occurrences find their words in
+it by two independent 64-bit hashes.  Columns named like the result are replaced.
 """
 
 from __future__ import annotations
@@ -30,11 +32,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import ArrowUDFType
 
 from . import textscan as ts
-from .store import settle
+from .store import forget, settle
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁".encode()
-#: Words broadcast at most: 24 bytes each.
+#: Words broadcast at most: 40 bytes each.
 HEAD = 1 << 20
 #: Words longer than this run alone.
 LONG = 64
@@ -43,7 +45,11 @@ LN10 = math.log(10)
 
 
 def read_vocabulary(path: str = VOCABULARY) -> tuple[list[bytes], np.ndarray]:
-    """Pieces as bytes, and their log probabilities before any training."""
+    """Pieces as bytes, and their log probabilities before any training.
+
+    A unigram model's scores are such probabilities already; a merge model has ranks in their
+    place, which stand for probabilities by Zipf's law.
+    """
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -73,6 +79,12 @@ def _hash(words: list[bytes]) -> np.ndarray:
     return ts.mix(ts.run_hash(h, np.concatenate([[0], end[:-1]]), end, ts.BYTES))
 
 
+def _names(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of each word, as those of the texts' words."""
+    data, end = np.frombuffer(b"".join(words), np.uint8), np.cumsum([len(w) for w in words])
+    return tuple(ts.hash_runs(data, np.concatenate([[0], end[:-1]]), end, seed) for seed in (0, 1))
+
+
 class Lattice:
     """Log probabilities of words, and expected counts of pieces."""
 
@@ -161,47 +173,27 @@ class Lattice:
         return forward[n]
 
 
-def _gather(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
-    """The byte runs as an Arrow column of strings."""
-    n = end - start
-    offsets = np.concatenate([[0], np.cumsum(n)])
-    at = np.arange(offsets[-1]) - np.repeat(offsets[:-1] - start, n)
-    return pa.LargeStringArray.from_buffers(len(n), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data[at]))
-
-
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct words of a batch of texts, how often they stand in all and in training texts."""
     for batch in batches:
         train = np.asarray(batch.column(1).to_numpy(zero_copy_only=False), bool)
-        data, starts, ends, hashes, trains = [], [], [], [], []
-        base = 0
+        words, trains = [], []
         for p in ts.pieces(batch.column(0)):
             t = ts.tokens(p, ts.SPACED)
-            data.append(t.lower)
-            h = t.hashes()
-            # one of each word in the piece, then one of each in the batch
-            order = np.argsort(h)
-            first = np.flatnonzero(np.concatenate([[True], h[order][1:] != h[order][:-1]])) if len(h) else np.zeros(0, np.int64)
-            if len(first):
-                in_train = train[p.first : p.first + p.count][t.doc()][order].astype(np.int64)
-                starts.append(base + t.start[order[first]])
-                ends.append(base + t.end[order[first]])
-                hashes.append(h[order[first]])
-                trains.append(np.stack([np.diff(np.append(first, len(h))), np.add.reduceat(in_train, first)]))
-            base += len(t.lower)
-        if not hashes:
+            words.append(ts.gather(t.lower, t.start, t.end))
+            trains.append(train[p.first : p.first + p.count][t.doc()])
+        if not sum(map(len, words)):
             continue
-        h, start, end, n = np.concatenate(hashes), np.concatenate(starts), np.concatenate(ends), np.concatenate(trains, axis=1)
-        order = np.argsort(h)
-        first = np.flatnonzero(np.concatenate([[True], h[order][1:] != h[order][:-1]]))
-        sums = np.add.reduceat(n[:, order], first, axis=1)
-        words = _gather(np.concatenate(data), start[order[first]], end[order[first]]).cast(pa.string())
-        for a in range(0, len(words), 100_000):
-            yield pa.RecordBatch.from_arrays([words[a : a + 100_000], pa.array(sums[0, a : a + 100_000]), pa.array(sums[1, a : a + 100_000])], names=["word", "n", "c"])
+        coded = pa.chunked_array(words).dictionary_encode().combine_chunks()
+        coded = coded if isinstance(coded, pa.DictionaryArray) else coded.chunk(0)
+        known, at = coded.dictionary.cast(pa.string()), coded.indices.to_numpy()
+        n, c = np.bincount(at, minlength=len(known)), np.bincount(at[np.concatenate(trains)], minlength=len(known))
+        for a in range(0, len(known), 100_000):
+            yield pa.RecordBatch.from_arrays([known[a : a + 100_000], pa.array(n[a : a + 100_000]), pa.array(c[a : a + 100_000])], names=["word", "n", "c"])
 
 
-SHAPE = "struct<words:bigint,known:bigint,base:double,score:double,rare:array<struct<h:bigint,n:int>>>"
-ARROW = pa.struct([("words", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("rare", pa.list_(pa.struct([("h", pa.int64()), ("n", pa.int32())])))])
+SHAPE = "struct<words:bigint,known:bigint,base:double,score:double,rare:array<struct<h:bigint,g:bigint,n:int>>>"
+ARROW = pa.struct([("words", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("rare", pa.list_(pa.struct([("h", pa.int64()), ("g", pa.int64()), ("n", pa.int32())])))])
 
 
 def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -209,25 +201,25 @@ def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return total[bounds[1:]] - total[bounds[:-1]]
 
 
-def _score_documents(column: pa.Array, h: np.ndarray, values: np.ndarray) -> pa.Array:
-    """Sums over the words in the table; the others by document and hash."""
+def _score_documents(column: pa.Array, h: np.ndarray, g: np.ndarray, values: np.ndarray) -> pa.Array:
+    """Sums over the words in the table; the others by document and both hashes."""
     parts = []
     for p in ts.pieces(column):
         t = ts.tokens(p, ts.SPACED)
-        own, doc = t.hashes(), t.doc()
+        own, other, doc = t.hashes(), t.hashes(1), t.doc()
         hit, v = np.zeros(len(own), bool), np.zeros((3, len(own)))
         if len(h):
             at = np.minimum(np.searchsorted(h, own), len(h) - 1)
-            hit = h[at] == own
+            hit = (h[at] == own) & (g[at] == other)
             v = np.where(hit, values[:, at], 0.0)
         rest = np.flatnonzero(~hit)
-        order = rest[np.lexsort((own[rest], doc[rest]))]
+        order = rest[np.lexsort((other[rest], own[rest], doc[rest]))]
         new = np.ones(len(order), bool)
-        new[1:] = (own[order][1:] != own[order][:-1]) | (doc[order][1:] != doc[order][:-1])
+        new[1:] = (own[order][1:] != own[order][:-1]) | (other[order][1:] != other[order][:-1]) | (doc[order][1:] != doc[order][:-1])
         first = np.flatnonzero(new)
         n = np.diff(np.append(first, len(order))).astype(np.int32)
         offsets = np.searchsorted(doc[order[first]], np.arange(p.count + 1)).astype(np.int32)
-        rare = pa.StructArray.from_arrays([pa.array(own[order[first]].view(np.int64)), pa.array(n)], names=["h", "n"])
+        rare = pa.StructArray.from_arrays([pa.array(own[order[first]].view(np.int64)), pa.array(other[order[first]].view(np.int64)), pa.array(n)], names=["h", "g", "n"])
         columns = [np.diff(t.bounds), _sums(v[0], t.bounds).astype(np.int64), _sums(v[1], t.bounds), _sums(v[2], t.bounds)]
         parts.append(pa.StructArray.from_arrays([*map(pa.array, columns), pa.ListArray.from_arrays(pa.array(offsets), rare)], names=[f.name for f in ARROW]))
     return pa.concat_arrays(parts) if parts else pa.array([], ARROW)
@@ -271,10 +263,11 @@ def score(docs: DataFrame, *, held_out: Column, text: str = "text", result: str
         lattice = Lattice(*fitted.value)
         for b in batches:
             words, c = [w.encode() for w in b.column(0).to_pylist()], b.column(2).to_numpy()
-            columns = [_hash(words).view(np.int64), (c > 0).astype(np.int32), np.log10(c + 1.0) - floor, lattice.run(words)[0] / LN10]
-            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), b.column(1)], names=["h", "known", "base", "score", "n"])
+            columns = [*(x.view(np.int64) for x in _names(words)), (c > 0).astype(np.int32), np.log10(c + 1.0) - floor, lattice.run(words)[0] / LN10]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), b.column(1)], names=["h", "g", "known", "base", "score", "n"])
 
-    scored = settle(table.mapInArrow(judge, "h bigint, known int, base double, score double, n bigint"))
+    scored = settle(table.mapInArrow(judge, "h bigint, g bigint, known int, base double, score double, n bigint"))
+    forget(spark, table)
     # the least frequency from which words are few enough for the head
     level = F.floor(F.log2("n") * 4).cast("int")
     least, held = None, 0
@@ -283,10 +276,10 @@ def score(docs: DataFrame, *, held_out: Column, text: str = "text", result: str
         if held > head:
             break
         least = row["level"]
-    top = scored.where(level >= least if least is not None else F.lit(False)).select("h", "known", "base", "score").toArrow()
+    top = scored.where(level >= least if least is not None else F.lit(False)).select("h", "g", "known", "base", "score").toArrow()
     h = top.column("h").to_numpy().view(np.uint64)
     order = np.argsort(h)
-    common = spark.sparkContext.broadcast((h[order], np.stack([top.column(c).to_numpy().astype(float)[order] for c in ("known", "base", "score")])))
+    common = spark.sparkContext.broadcast((h[order], top.column("g").to_numpy().view(np.uint64)[order], np.stack([top.column(c).to_numpy().astype(float)[order] for c in ("known", "base", "score")])))
 
     def scan(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
@@ -294,7 +287,7 @@ def score(docs: DataFrame, *, held_out: Column, text: str = "text", result: str
 
     udf = F.arrow_udf(scan, returnType=SHAPE, functionType=ArrowUDFType.SCALAR_ITER)
     rows = settle(docs.withColumns({"__held": held_out, "__row": F.monotonically_increasing_id(), "__s": udf(F.col(text))}).select(*keep, "__held", "__row", "__s"))
-    rare = rows.select("__row", F.explode("__s.rare").alias("r")).select("__row", "r.h", "r.n").join(scored.drop("n"), "h")
+    rare = rows.select("__row", F.explode("__s.rare").alias("r")).select("__row", "r.h", "r.g", "r.n").join(scored.drop("n"), ["h", "g"])
     rare = rare.groupBy("__row").agg(*[F.sum(F.col(c) * rare["n"]).alias(f"__{c}") for c in ("known", "base", "score")])
     out = rows.join(rare, "__row", "left")
     whole = lambda c: F.col(f"__s.{c}") + F.coalesce(F.col(f"__{c}"), F.lit(0))

@@ -9,30 +9,42 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; one is made up only where spark.checkpoint.dir is unset."""
+    """The session's checkpoint folder.
+
+    Where spark.checkpoint.dir is unset, a folder of this machine stands in for it, but only in a
+    session without other machines; on a cluster that is an error.
+    """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="kinfold-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that driver and executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="kinfold-"))
     return sc.getCheckpointDir()
 
 
+def _path(spark: SparkSession, folder: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and go on from the files.
 
     Unlike checkpoint() this computes the plan a single time and keeps columns compressed;
-    the files outlive any executor.
+    the files outlive any executor.  What forget() hasn't deleted goes when the driver ends.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    folder = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    path, files = _path(spark, folder)
+    df.write.parquet(folder)
+    files.deleteOnExit(path)
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 def forget(spark: SparkSession, *tables: DataFrame) -> None:
     """Delete tables written by settle() that no later step reads."""
-    jvm = spark.sparkContext._jvm
     for df in tables:
-        folders = {f.rpartition("/")[0] for f in df.inputFiles()}
-        for folder in folders:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            path, files = _path(spark, folder)
+            files.delete(path, True)

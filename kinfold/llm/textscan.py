@@ -1,13 +1,18 @@
 """Array-at-a-time tokenizing of Arrow string columns.
 
 A piece is a run of whole documents whose UTF-8 bytes lie one after another; all positions are
-byte positions in the piece.  Words are maximal runs of bytes of a class.  Hashes are polynomial
+byte positions in the piece.  Words are maximal runs of bytes of a class.
+
+Words are hashed eight bytes a round, with all bits mixed between rounds; long ones by a
+cryptographic hash.  Hashes of sliding runs (of a few words, or of a gram of bytes) are polynomial
 in the ring of 64-bit integers: every multiplier is odd and so has an inverse, which turns the
-hash of any run into a difference of prefix sums.
+hash of any run into a difference of prefix sums.  Such sums are blind to some pairs of runs of
+1024 symbols and more, so no run of that length is ever named by them.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -57,6 +62,32 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+#: Runs of more bytes are hashed one by one.
+LONG_RUN = 512
+_KEPT = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
+
+
+def hash_runs(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hashes of runs of bytes; other seeds give independent ones."""
+    n = end - start
+    eight = np.ndarray((len(data) + 1,), "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+    h = mix(n.astype(np.uint64) * np.uint64(WORD_BASE) + np.uint64(seed * 2 + 1) * np.uint64(BYTE_BASE >> 8))
+    long = n > LONG_RUN
+    at, left, rows = start, np.where(long, 0, n), None
+    while True:
+        live = np.flatnonzero(left > 0)
+        if not len(live):
+            break
+        at, left = at[live], left[live]
+        rows = live if rows is None else rows[live]
+        h[rows] = mix(h[rows] ^ (eight[at] & _KEPT[np.minimum(left, 8)]))
+        at, left = at + 8, left - 8
+    for k in np.flatnonzero(long).tolist():
+        digest = hashlib.blake2b(data[start[k] : end[k]].tobytes(), digest_size=8, salt=seed.to_bytes(8, "little")).digest()
+        h[k] = np.frombuffer(digest, np.uint64)[0]
+    return h
+
+
 def prefix_hash(values: np.ndarray, powers: _Powers) -> np.ndarray:
     """h with h[j] - h[i] = sum of values[k] * base**k over i <= k < j."""
     h = np.zeros(len(values) + 1, np.uint64)
@@ -108,9 +139,8 @@ class Tokens:
     def doc(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
 
-    def hashes(self) -> np.ndarray:
-        h = prefix_hash(self.lower.astype(np.uint64) + np.uint64(1), BYTES)
-        return mix(run_hash(h, self.start, self.end, BYTES))
+    def hashes(self, seed: int = 0) -> np.ndarray:
+        return hash_runs(self.lower, self.start, self.end, seed)
 
 
 def tokens(piece: Piece, word: np.ndarray) -> Tokens:
@@ -129,6 +159,14 @@ def tokens(piece: Piece, word: np.ndarray) -> Tokens:
     return Tokens(start, end, np.searchsorted(start, piece.bounds), low)
 
 
+def gather(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The byte runs as an Arrow column of strings."""
+    n = end - start
+    offsets = np.concatenate([[0], np.cumsum(n)])
+    at = np.arange(offsets[-1]) - np.repeat(offsets[:-1] - start, n)
+    return pa.LargeStringArray.from_buffers(len(n), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data[at]))
+
+
 def window_hashes(t: Tokens, hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """First words and hashes of all runs of ``size`` words within one document."""
     n = len(hashes) - size + 1

@@ -14,6 +14,7 @@ def pairs(rows):
 @pytest.mark.parametrize("group", [1500, 3])
 def test_brute_force(spark, monkeypatch, group):
     monkeypatch.setattr(j, "GROUP", group)
+    monkeypatch.setattr(j, "PART", group)
     rows = with_ids(documents())
     docs = spark.createDataFrame(rows, SCHEMA).withColumn("component_id", j.F.lit("clash"))
     got = sorted(map(tuple, j.similar(docs).collect()))
@@ -61,3 +62,39 @@ def test_driver_tables(spark):
     sf = "/root/testdata/sf0.001"
     docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     assert sorted(map(tuple, j.op3_jaccard(spark, sf).collect())) == sorted(j.brute_force(docs))
+
+
+def test_blocks_are_skipped():
+    rng = np.random.default_rng(7)
+    e = np.empty(4000, j.ENTRY)
+    e["key"], e["text"], e["n"] = rng.integers(0, 9, 4000), np.arange(4000), rng.integers(1, 60, 4000)
+    e["at"] = rng.integers(0, 30, 4000)
+    e, band = j._banded(e)
+    stay, blocks, skipped = j._skip(e, band)
+    least = {}
+    for k, b, n in zip(e["key"].tolist(), band.tolist(), e["n"].tolist()):
+        least[k, b] = min(n, least.get((k, b), n))
+    n, at = e["n"].astype(int), e["at"].astype(int)
+    low = np.array([least[k] for k in zip(e["key"].tolist(), band.tolist())])
+    assert stay.tolist() == np.flatnonzero((j.NUM + j.DEN) * (n - at) - j.NUM * n >= j.NUM * low).tolist()
+    assert 0 < skipped < blocks < len(e)
+
+
+def test_hot_lists(spark, monkeypatch):
+    monkeypatch.setattr(j, "BUCKET_BYTES", 64)
+    monkeypatch.setattr(j, "HOT_LIST", 3)
+    seen = []
+    heavy = j._heavy
+    monkeypatch.setattr(j, "_heavy", lambda index: seen.append(heavy(index)) or seen[-1])
+    rows = with_ids(documents())
+    assert sorted(map(tuple, j.similar(spark.createDataFrame(rows, SCHEMA)).collect())) == sorted(j.brute_force(pairs(rows)))
+    assert seen[0][1] is not None
+
+
+def test_far_branches(spark, monkeypatch):
+    monkeypatch.setattr(j, "BROADCAST_ROWS", 0)
+    rows = with_ids(documents())
+    docs = spark.createDataFrame(rows, SCHEMA)
+    want = sorted(j.brute_force(pairs(rows)))
+    assert sorted(map(tuple, j.similar(docs).collect())) == want
+    assert sorted(r.doc_id for r in j.keep_one(docs).collect()) == sorted(d for d, _, c in want if d == c)
