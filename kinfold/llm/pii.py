@@ -1,59 +1,59 @@
 """Personal data by bootstrapped contextual extraction, in DataFrame functions alone.
 
 Base kinds are found by their patterns.  They seed a bipartite graph of lexical patterns (the words
-before a base span, of any kind, or a number-like token outside spans) and instances (the span or
-token): a pattern is as reliable as the share of
-its instances that are believed, an instance is believed as far as its most reliable pattern, and
-both are scored in turn.  Patterns that end up reliable and well supported report the tokens behind
-them that no base pattern knows, as kind ``context``.
+before, after or around a base span of any kind, or a number-like token outside spans) and instances
+(the span or token): a pattern is as reliable as the share of its instances that are believed, an
+instance is believed as far as its most reliable pattern, and both are scored in turn.  Patterns
+that end up reliable and well supported report the tokens in their place that no base pattern
+knows, as kind ``context``.
 
-Positions of matches come from the lengths of the matches and of what stands between them.
+Matches are rows of their own: positions are running sums of the lengths of matches and of what
+stands between them, and what overlaps is told by running maxima and minima, so that a text of a
+great many matches costs no more than a sort of them.
 
 Defined results: a null text counts as empty and has no spans; positions are code points, ends
-exclusive; equal texts get equal spans; an empty table gives an empty result.  Other columns stay
-as they are, except that one named like the result is replaced.
+exclusive; equal texts and repeated rows get equal spans; spans that begin together stand in the
+order of kinds; very long texts, addresses and numbers are read to their end; an empty table gives an
+empty result.  Other columns stay as they are, except that one named like the result is replaced.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .store import settle
+from .store import forget, settle
 
 KINDS = ("email", "ip", "card", "phone")
 
 # Each pattern finds the same places as the plain one of its kind.  An e-mail's local part can only
 # begin where a run of its characters does, or where the last match ended; a card can only begin
-# and end where digits joined by single separators do.
-EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+# and end where digits joined by single separators do.  Repeated groups are possessive, which Java
+# runs as a loop: a plain repetition of a group recurses, and overflows the stack on long addresses.
+EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){11,18}(?![\x20-]?[0-9])"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-#: A token of at least five digits, and the words before it that make a pattern.
+#: A token of at least five digits, and the words before and after it that make patterns.
 NUMBER = r"(?<!\S)[^\s0-9]*+(?:[0-9][^\s0-9]*+){5,}+"
-CUE = r"(\S{1,40}\s+\S{1,40})\s+$"
+BEFORE, AFTER = r"(\S{1,40}\s+\S{1,40})\s+$", r"^\s+(\S{1,40}\s+\S{1,40})"
 LABEL = r"(\S{1,40}[:=#])\s+$"
+LAST, NEXT = r"(\S{1,40})\s+$", r"^\s+(\S{1,40})"
 TAIL = 90
 
 #: Rounds of scoring; what a pattern needs to be trusted.
 ROUNDS, RELIABLE, SEEDS = 3, 0.8, 5
 
+MATCH = "array<struct<kind:string,i:int,before:int,value:string,tail:string,head:string>>"
 
-def places(text: Column, pattern: str) -> Column:
-    """All matches in order: start, end, value, and the end of what stands before."""
-    found, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    before = F.transform(between, lambda b: F.struct(F.length(b).alias("n"), F.right(b, F.lit(TAIL)).alias("tail")))
-    none = "array<struct<start:int,end:int,value:string,tail:string>>"
 
-    def add(s: Column, x: Column) -> Column:
-        start = s["at"] + x["b"]["n"]
-        end = start + F.length(x["value"])
-        row = F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value"), x["b"]["tail"].alias("tail"))
-        return F.struct(end.alias("at"), F.concat(s["out"], F.array(row)).alias("out"))
-
-    zipped = F.zip_with(found, F.slice(before, 1, F.size(found)), lambda v, b: F.struct(v.alias("value"), b.alias("b")))
-    return F.aggregate(zipped, F.struct(F.lit(0).alias("at"), F.lit([]).cast(none).alias("out")), add, lambda s: s["out"])
+def matches(text: Column, kind: str, pattern: str) -> Column:
+    """All matches in order: value, length and end of what stands before it, start of what follows."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    between = F.transform(F.split(text, pattern, -1), lambda b: F.struct(F.length(b).alias("n"), F.right(b, F.lit(TAIL)).alias("tail"), F.left(b, F.lit(TAIL)).alias("head")))
+    rows = F.arrays_zip(found.alias("value"), F.slice(between, 1, F.size(found)).alias("b"), F.slice(between, 2, F.size(found)).alias("a"))
+    each = lambda m, i: F.struct(F.lit(kind).alias("kind"), i.alias("i"), m["b"]["n"].alias("before"), m["value"].alias("value"), m["b"]["tail"].alias("tail"), m["a"]["head"].alias("head"))
+    return F.transform(rows, each)
 
 
 def _digits(value: Column) -> Column:
@@ -72,58 +72,69 @@ def _octets(value: Column) -> Column:
     return F.forall(F.split(value, r"\."), lambda p: F.when(F.length(part(p)) > 3, F.lit(False)).otherwise(part(p).cast("int") <= 255))
 
 
-def _base(text: Column) -> dict[str, Column]:
-    """Kind -> places; a text that can't hold a kind isn't searched for it."""
-    none = F.lit([]).cast("array<struct<start:int,end:int,value:string,tail:string>>")
-    only = lambda guard, pattern, keep: F.when(guard, F.filter(places(text, pattern), lambda p: keep(p["value"]))).otherwise(none)
-    between = lambda v, lo, hi: F.length(_digits(v)).between(lo, hi)
-    return {
-        "email": only(F.contains(text, F.lit("@")), EMAIL, lambda v: F.lit(True)),
-        "ip": only(text.rlike(r"[0-9]\.[0-9]"), IP, _octets),
-        "card": only(text.rlike(CARD), CARD, _luhn),
-        "phone": only(F.contains(text, F.lit("+")), PHONE, lambda v: between(v, 9, 15)),
-    }
+def _valid() -> Column:
+    """Whether a match of a kind is one; matches that fail are dropped, positions stay."""
+    kind, v = F.col("kind"), F.col("value")
+    return F.when(kind == "ip", _octets(v)).when(kind == "card", _luhn(v)).when(kind == "phone", F.length(_digits(v)).between(9, 15)).otherwise(F.lit(True))
+
+
+def _told(tail: Column, head: Column) -> Column:
+    """Patterns by the words next to an instance, in lower case and with 0 for all digits."""
+    plain = lambda c: F.lower(F.regexp_replace(c, r"[0-9]+", "0"))
+    before, label, last = (F.regexp_extract(tail, p, 1) for p in (BEFORE, LABEL, LAST))
+    after, following = (F.regexp_extract(head, p, 1) for p in (AFTER, NEXT))
+    if_there = lambda c, out: F.when(c, plain(out))
+    named = F.array(
+        if_there(before != "", F.concat(before, F.lit(" _"))), if_there(label != "", F.concat(label, F.lit(" _"))), if_there(after != "", F.concat(F.lit("_ "), after)),
+        if_there((last != "") & (following != ""), F.concat(last, F.lit(" _ "), following)),
+    )
+    return F.array_distinct(F.filter(named, lambda x: x.isNotNull()))
 
 
-def scan(docs: DataFrame, *, text: str = "text", result: str = "pii") -> DataFrame:
-    """``docs`` with a struct column: base spans by start and kind; with their patterns, the base spans
-    as seeds and the number-like tokens outside them, which may be unseen identifiers."""
+def scan(docs: DataFrame, *, text: str = "text") -> DataFrame:
+    """``docs`` with ``__m``: all matches of base kinds and number-like tokens, failing ones included.
+    A text that can't hold a kind isn't searched for it."""
     whole = F.coalesce(F.col(text), F.lit(""))
-    found = docs.withColumn("__found", F.struct(*[c.alias(k) for k, c in _base(whole).items()]))
-    empty = F.lit([]).cast("array<struct<start:int,end:int,value:string,tail:string>>")
-    found = found.withColumn("__tokens", F.when(whole.rlike(r"[0-9][^\s0-9]*[0-9][^\s0-9]*[0-9][^\s0-9]*[0-9][^\s0-9]*[0-9]"), places(whole, NUMBER)).otherwise(empty))
-    ranked = lambda k, i: lambda p: F.struct(p["start"].alias("start"), F.lit(i).alias("rank"), F.lit(k).alias("kind"), p["end"].alias("end"))
-    named = [F.transform(F.col(f"__found.{k}"), ranked(k, i)) for i, k in enumerate(KINDS)]
-    found = found.withColumn("__spans", F.array_sort(F.concat(*named)))
-    head = lambda v: F.length(F.regexp_extract(v, "^[^0-9A-Za-z+]*", 0))
-    core = lambda v: F.regexp_replace(F.regexp_replace(v, "^[^0-9A-Za-z+]+", ""), "[^0-9A-Za-z]+$", "")
-    cue = lambda t, p: F.lower(F.regexp_replace(F.regexp_extract(t, p, 1), r"[0-9]+", "0"))
-
-    told = lambda tail: F.filter(F.array(cue(tail, CUE), cue(tail, LABEL)), lambda x: x != "")
-
-    def token(p: Column) -> Column:
-        start, value = p["start"] + head(p["value"]), core(p["value"])
-        return F.struct(start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value"), F.lit(False).alias("seed"), told(p["tail"]).alias("patterns"))
-
-    def seed(p: Column) -> Column:
-        # as with tokens, what is joined to the value is none of the words before it
-        before = F.regexp_replace(p["tail"], r"\S+$", "")
-        return F.struct(p["start"].alias("start"), p["end"].alias("end"), p["value"].alias("value"), F.lit(True).alias("seed"), told(before).alias("patterns"))
-
-    outside = F.filter(F.transform("__tokens", token), lambda t: ~F.exists("__spans", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
-    # a span that begins inside another is no identifier of its own, and its words are the other's inside
-    inside = lambda p: F.exists("__spans", lambda s: ((s["start"] < p["start"]) & (p["start"] < s["end"])) | ((s["start"] == p["start"]) & (s["end"] > p["end"])))
-    seeds = F.concat(*[F.transform(F.filter(f"__found.{k}", lambda p: ~inside(p)), seed) for k in KINDS])
-    tokens = F.filter(F.concat(seeds, outside), lambda t: F.size(t["patterns"]) > 0)
-    spans = F.transform("__spans", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    counts = [F.size(f"__found.{k}").cast("long").alias(f"n_{k}") for k in KINDS]
-    return found.withColumn(result, F.struct(*counts, spans.alias("spans"), tokens.alias("tokens"))).drop("__found", "__tokens", "__spans")
-
-
-def reliable_patterns(scanned: DataFrame, *, result: str = "pii", rounds: int = ROUNDS, reliable: float = RELIABLE, seeds: int = SEEDS) -> DataFrame:
-    """Patterns to trust, scored over the whole pattern-instance graph in ``rounds`` turns."""
-    each = scanned.select(F.explode(f"{result}.tokens").alias("t"))
-    edges = each.select(F.explode("t.patterns").alias("pattern"), F.col("t.value").alias("value"), F.col("t.seed").cast("int").alias("seed"))
+    five = r"[0-9][^\s0-9]*+[0-9][^\s0-9]*+[0-9][^\s0-9]*+[0-9][^\s0-9]*+[0-9]"
+    guarded = [
+        (F.contains(whole, F.lit("@")), "email", EMAIL), (whole.rlike(r"[0-9]\.[0-9]"), "ip", IP), (whole.rlike(CARD), "card", CARD),
+        (F.contains(whole, F.lit("+")), "phone", PHONE), (whole.rlike(five), "number", NUMBER),
+    ]
+    none = F.lit([]).cast(MATCH)
+    return docs.withColumn("__m", F.concat(*[F.when(guard, matches(whole, kind, pattern)).otherwise(none) for guard, kind, pattern in guarded]))
+
+
+def instances(scanned: DataFrame) -> DataFrame:
+    """(row, kind, start, end, value, seed, patterns): base spans, and number-like tokens outside them.
+
+    A base span that begins inside another is reported, but is no identifier of its own: it has no
+    patterns.
+    """
+    order = Window.partitionBy("row", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    m = scanned.select(F.col("__row").alias("row"), F.explode("__m").alias("m")).select("row", "m.*")
+    m = m.withColumn("end", F.sum(F.col("before") + F.length("value")).over(order).cast("int")).where(_valid())
+    m = m.withColumn("start", F.col("end") - F.length("value")).withColumn("seed", F.col("kind") != "number")
+    # a token is what stands between its first and last letter or digit
+    core = F.regexp_replace(F.regexp_replace("value", "^[^0-9A-Za-z+]+", ""), "[^0-9A-Za-z]+$", "")
+    lead = F.length(F.regexp_extract("value", "^[^0-9A-Za-z+]*", 0))
+    m = m.withColumns({"core": F.when(F.col("seed"), F.col("value")).otherwise(core), "lead": F.when(F.col("seed"), F.lit(0)).otherwise(lead)})
+    m = m.withColumns({"start": F.col("start") + F.col("lead"), "value": F.col("core")}).withColumn("end", F.col("start") + F.length("value"))
+    earlier = Window.partitionBy("row").orderBy("start", F.desc("seed"), F.desc("end"), "kind").rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy("row").orderBy(F.desc("start"), "seed", "end", F.desc("kind")).rowsBetween(Window.unboundedPreceding, -1)
+    spans = lambda c: F.when(F.col("seed"), F.col(c))
+    inside = F.coalesce(F.max(spans("end")).over(earlier) > F.col("start"), F.lit(False))
+    cut = F.coalesce(F.min(spans("start")).over(later) < F.col("end"), F.lit(False))
+    m = m.withColumns({"inside": inside, "cut": cut}).where("seed OR NOT (inside OR cut)")
+    # what is joined to the value is none of the words next to it
+    tail = F.when(F.col("seed"), F.regexp_replace("tail", r"\S+$", "")).otherwise(F.col("tail"))
+    head = F.when(F.col("seed"), F.regexp_replace("head", r"^\S+", "")).otherwise(F.col("head"))
+    patterns = F.when(~F.col("inside"), _told(tail, head)).otherwise(F.array().cast("array<string>"))
+    return m.select("row", "kind", "start", "end", "value", "seed", patterns.alias("patterns")).where("seed OR size(patterns) > 0")
+
+
+def reliable_patterns(found: DataFrame, *, rounds: int = ROUNDS, reliable: float = RELIABLE, seeds: int = SEEDS) -> DataFrame:
+    """(pattern, score, seeds): patterns to trust, scored over the whole graph in ``rounds`` turns."""
+    edges = found.select(F.explode("patterns").alias("pattern"), "value", F.col("seed").cast("int").alias("seed"))
     edges = settle(edges.groupBy("pattern", "value").agg(F.max("seed").alias("seed")))
     known = edges.groupBy("value").agg(F.max("seed").cast("double").alias("belief"))
     for turn in range(rounds):
@@ -132,23 +143,28 @@ def reliable_patterns(scanned: DataFrame, *, result: str = "pii", rounds: int =
         if turn + 1 < rounds:
             told = edges.join(scored, "pattern", "left").groupBy("value").agg(F.max(edges["seed"]).alias("seed"), F.max("score").alias("best"))
             known = settle(told.select("value", F.greatest(F.col("seed").cast("double"), F.coalesce("best", F.lit(0.0))).alias("belief")))
-    return scored.where(F.col("score") >= reliable)
+    out = settle(scored.where(F.col("score") >= reliable))
+    forget(found.sparkSession, edges, *([known] if rounds > 1 else []))
+    return out
 
 
 def find_pii(docs: DataFrame, *, text: str = "text", result: str = "pii", keep: list[str] | None = None, **options) -> DataFrame:
     """The columns ``keep`` of ``docs`` (all of them) with a struct: counts by kind and all spans."""
     keep = [c for c in (keep or docs.columns) if c != result]
-    scanned = settle(scan(docs.withColumn("__key", F.xxhash64(F.col(text))), text=text, result=result).select(*keep, "__key", result))
-    tokens = scanned.select("__key", F.explode(f"{result}.tokens").alias("t")).where("NOT t.seed")
-    tokens = tokens.select("__key", "t.start", "t.end", F.explode("t.patterns").alias("pattern"))
-    told = tokens.join(reliable_patterns(scanned, result=result, **options).select("pattern"), "pattern", "left_semi")
-    more = told.groupBy("__key").agg(F.collect_set(F.struct(F.lit("context").alias("kind"), "start", "end")).alias("__more"))
-    out = scanned.join(more, "__key", "left")
-    place = F.array(*[F.lit(k) for k in (*KINDS, "context")])
-    rank = lambda s: F.struct(s["start"].alias("start"), F.array_position(place, s["kind"]).alias("rank"), s["kind"].alias("kind"), s["end"].alias("end"))
-    both = F.array_sort(F.transform(F.concat(f"{result}.spans", F.coalesce("__more", F.lit([]).cast("array<struct<kind:string,start:int,end:int>>"))), rank))
-    spans = F.transform(both, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    return out.withColumn(result, F.struct(*[F.col(f"{result}.n_{k}").alias(f"n_{k}") for k in KINDS], spans.alias("spans"))).select(*keep, result)
+    scanned = settle(scan(docs, text=text).withColumn("__row", F.monotonically_increasing_id()).select(*keep, "__row", "__m"))
+    found = settle(instances(scanned))
+    trusted = reliable_patterns(found, **options).select("pattern")
+    told = found.where("NOT seed").select("row", "start", "end", F.explode("patterns").alias("pattern"))
+    told = told.join(trusted, "pattern", "left_semi").select("row", F.lit("context").alias("kind"), "start", "end").distinct()
+    every = found.where("seed").select("row", "kind", "start", "end").union(told)
+    rank = F.array_position(F.array(*[F.lit(k) for k in (*KINDS, "context")]), F.col("kind"))
+    of = lambda k: F.count_if(F.col("kind") == k).alias(f"n_{k}")
+    held = F.array_sort(F.collect_list(F.struct("start", rank.alias("rank"), "kind", "end")))
+    grouped = every.groupBy(F.col("row").alias("__row")).agg(*[of(k) for k in KINDS], held.alias("__held"))
+    spans = F.transform(F.coalesce("__held", F.lit([]).cast("array<struct<start:int,rank:bigint,kind:string,end:int>>")), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    counts = [F.coalesce(f"__g.n_{k}", F.lit(0)).cast("long").alias(f"n_{k}") for k in KINDS]
+    grouped = grouped.select("__row", F.struct(*[f"n_{k}" for k in KINDS]).alias("__g"), "__held")
+    return scanned.drop("__m").join(grouped, "__row", "left").withColumn(result, F.struct(*counts, spans.alias("spans"))).select(*keep, result)
 
 
 def joined(spans: Column) -> Column:
@@ -161,5 +177,5 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.col("pii.spans")
     return found.select(
         "doc_id", *[F.col(f"pii.n_{k}").alias(f"n_{k}") for k in KINDS],
-        F.sha2(joined(F.filter(spans, lambda s: s["kind"].isin(*KINDS))), 256).alias("base_sha256"), joined(spans).alias("spans"),
+        F.sha2(joined(F.filter(spans, lambda s: s["kind"].isin(*KINDS))), 256).alias("base_sha256"), joined(spans).alias("spans"), F.size(spans).cast("long").alias("n_spans"),
     )

@@ -27,7 +27,8 @@ def plain(t):
 TEXTS = [
     "a@b.c_d@e.fg x@y, .a%b+c@d-e.f-g.h.", "😀 é x.y@z.com and +1 (415) 555-1234, +12 34 +5 67.89-10111213", "1.2.3.4 256.1.1.1 0255.001.1.1 1.2.3.4.5.6.7.8 99999999999999999999.1.1.1",
     "4111 1111 1111 1111 and 4111-1111-1111-1112, 4111111111111111 5", "12 34  4111 1111 1111 1111", "1" * 30, "5500005555555559-5500005555555559", "+1 2 +1 234 567 890", "@ + . 1.1", "a@b.c@d.e",
-    "x@" * 300 + "y.z", "7" * 19 + " 4", "0000000000000000",
+    "x@" * 300 + "y.z", "7" * 19 + " 4", "0000000000000000", "a@" + "b." * 20_000 + "c", "a" * 100_000 + "@" + "b" * 100_000 + ".c", " ".join(str(1000000 + i) for i in range(40_000)),
+    " ".join(f"+1 555 0{i:06}, u{i}@x.yz 10.0.{i % 256}.7" for i in range(10_000)), "+" + "1" * 50_000, "1." * 30_000, "(+" * 20_000,
 ]
 
 
