@@ -1,4 +1,8 @@
-"""Connected components of a table of links, by alternating large and small stars."""
+"""Connected components of a table of links, by alternating large and small stars.
+
+Defined results: links with a null end or from a node to itself are none; repeated links count once;
+without links there are no nodes; the name of a component is its least node, so that ties don't arise.
+"""
 
 from __future__ import annotations
 
@@ -22,6 +26,22 @@ def _small(edges: DataFrame) -> DataFrame:
     return down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
 
 
+def lookup(rows: DataFrame, key: str, table: DataFrame) -> DataFrame:
+    """``rows`` with the columns of ``table``, whose keys are unique; null where a key isn't in it.
+
+    Keys of more than a thousandth of all rows, so a thousand at most, are looked up by broadcast;
+    their rows are spread over all tasks of the join that looks up the others.
+    """
+    total, values = rows.count(), [c for c in table.columns if c != key]
+    hot = rows.groupBy(key).count().where(F.col("count") * 1000 > total).select(key)
+    few = table.join(F.broadcast(hot), key).select(F.col(key).alias("__hot"), *[F.col(c).alias(f"__{c}") for c in values])
+    own = rows.join(F.broadcast(few), F.col(key) == F.col("__hot"), "left")
+    own = own.withColumn("__at", F.when(F.col("__hot").isNull(), F.col(key)).otherwise(F.xxhash64(*rows.columns)))
+    out = own.join(table.withColumnRenamed(key, "__key"), F.col("__at") == F.col("__key"), "left")
+    pick = [F.when(F.col("__hot").isNotNull(), F.col(f"__{c}")).otherwise(F.col(c)).alias(c) for c in values]
+    return out.select(*rows.columns, *pick)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, least): the least node that links (a, b) lead to, for every node that has links.
 

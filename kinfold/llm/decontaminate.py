@@ -6,8 +6,14 @@ none, is one window.  A document's words inside an occurrence of a window are hi
 
 Defined results: a null or empty text has no words and no hits; a null benchmark text has no
 windows; items with equal windows are all reported; a null item id is reported nowhere, though
-its windows hit; repeated benchmark rows count once; an empty benchmark hits nothing.  Columns of
-``docs`` stay as they are, except that one named like the result is replaced.
+its windows hit; repeated benchmark rows count once; an empty benchmark hits nothing; repeated
+documents are scanned one by one; ties don't arise, since every occurrence counts; very long texts
+are scanned whole.  Columns of ``docs`` stay as they are, except that one named like the result is
+replaced.
+
+A benchmark beyond one broadcast is scanned for in blocks.  Documents are then written once, with
+row numbers; a block settles the hits of documents that have any, and the last block's scan takes
+them in.
 """
 
 from __future__ import annotations
@@ -46,9 +52,18 @@ class Windows:
                 keep = counts[doc[at]] == size
                 at, h = at[keep], h[keep]
             order = np.argsort(h, kind="stable")
+            at, h = at[order], h[order]
+            # equal windows stand together: one is verified for all of their items
+            edge = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+            same: list[dict] = []
+            for a, b in zip(edge.tolist(), [*edge[1:].tolist(), len(h)]):
+                owners: dict[tuple, set] = {}
+                for k in range(a, b):
+                    owners.setdefault(tuple(self.words(int(at[k]), size)), set()).add(int(doc[at[k]]))
+                same.append({w: sorted(x) for w, x in owners.items()})
             bits = np.zeros(1 << 20, bool)
             bits[(h >> np.uint64(44)).astype(np.int64)] = True
-            self.by_size.append((size, h[order], at[order], doc[at[order]], bits))
+            self.by_size.append((size, h[edge], same, bits))
 
     def words(self, at: int, size: int) -> list[bytes]:
         return [self.text[a:b] for a, b in zip(self.start[at : at + size].tolist(), self.end[at : at + size].tolist())]
@@ -58,17 +73,16 @@ def _scan(piece: ts.Piece, known: Windows) -> tuple[ts.Tokens, list[tuple[int, i
     """Verified (first word, size, item) of all occurrences, first word in the piece."""
     t = ts.tokens(piece, ts.ALNUM)
     hashes, found, text = t.hashes(), [], None
-    for size, h, at, item, bits in known.by_size:
+    for size, h, same, bits in known.by_size:
         first, own = ts.window_hashes(t, hashes, size)
         maybe = bits[(own >> np.uint64(44)).astype(np.int64)]
         first, own = first[maybe], own[maybe]
-        lo, hi = np.searchsorted(h, own, "left"), np.searchsorted(h, own, "right")
-        for w, i, j in zip(first[lo < hi].tolist(), lo[lo < hi].tolist(), hi[lo < hi].tolist()):
+        at = np.minimum(np.searchsorted(h, own), len(h) - 1)
+        hit = h[at] == own
+        for w, k in zip(first[hit].tolist(), at[hit].tolist()):
             text = t.lower.tobytes() if text is None else text
-            here = [text[a:b] for a, b in zip(t.start[w : w + size].tolist(), t.end[w : w + size].tolist())]
-            for k in range(i, j):
-                if known.words(int(at[k]), size) == here:
-                    found.append((w, size, int(item[k])))
+            here = tuple(text[a:b] for a, b in zip(t.start[w : w + size].tolist(), t.end[w : w + size].tolist()))
+            found += [(w, size, i) for i in same[k].get(here, ())]
     return t, found
 
 
@@ -119,11 +133,25 @@ ARROW = pa.struct([
 ])
 
 
+def _rows(benchmark: DataFrame, item: str, text: str) -> DataFrame:
+    return benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).alias("text")).where("text IS NOT NULL").distinct().orderBy("item", "text")
+
+
+def _sizes(benchmark: DataFrame, item: str, text: str, block_bytes: int) -> Iterator[int]:
+    """Lengths of the blocks in items."""
+    n = held = 0
+    for row in _rows(benchmark, item, text).select(F.length("text").alias("n")).toLocalIterator():
+        if n and held + row.n > block_bytes // 2:
+            yield n
+            n = held = 0
+        n, held = n + 1, held + row.n
+    yield n
+
+
 def _blocks(benchmark: DataFrame, item: str, text: str, block_bytes: int) -> Iterator[tuple[list, list]]:
     """The benchmark in blocks of bounded size, one at a time on the driver; an item stays whole."""
-    rows = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).alias("text")).where("text IS NOT NULL").distinct()
     items, texts, held = [], [], 0
-    for row in rows.toLocalIterator():
+    for row in _rows(benchmark, item, text).toLocalIterator():
         if texts and held + len(row.text) > block_bytes // 2:
             yield items, texts
             items, texts, held = [], [], 0
@@ -137,12 +165,13 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = 1
     """``docs`` with a struct column: words, words hit, hit runs by word and by character, items.
 
     One scan of ``docs`` without a shuffle for each block of the benchmark; blocks bound what is
-    broadcast, and all but the last scan are settled so that one block is in memory at a time.
+    broadcast and what the driver holds.
     """
     spark = docs.sparkSession
-    merge = F.arrow_udf(_merged, returnType=SHAPE, functionType=ArrowUDFType.SCALAR)
-    out, n = docs, 0
-    for items, texts in _blocks(benchmark, item, item_text, block_bytes):
+    blocks = list(_sizes(benchmark, item, item_text, block_bytes))
+    out = docs if len(blocks) == 1 else settle(docs.withColumn("__row", F.monotonically_increasing_id()))
+    more = None
+    for n, (items, texts) in enumerate(_blocks(benchmark, item, item_text, block_bytes)):
         known = spark.sparkContext.broadcast((items, texts, window))
 
         def scan(columns: Iterator[pa.Array], known=known) -> Iterator[pa.Array]:
@@ -151,13 +180,17 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = 1
                 yield pa.array(_documents(column, windows), ARROW)
 
         found = F.arrow_udf(scan, returnType=SHAPE, functionType=ArrowUDFType.SCALAR_ITER)(F.col(text))
-        if n:
-            # the word positions of a text don't depend on the block, so spans can be united
-            out = settle(out).withColumn("__more", found).withColumn(result, merge(F.col(result), F.col("__more"))).drop("__more")
-        else:
-            out = out.withColumn(result, found)
-        n += 1
-    return out
+        if n + 1 == len(blocks):
+            break
+        hits = settle(out.select("__row", found.alias("__f")).where("__f.n_hit > 0"))
+        more = hits if more is None else more.union(hits)
+    if more is None:
+        return out.withColumn(result, found)
+    # the word positions of a text don't depend on the block, so spans can be united
+    more = more.groupBy("__row").agg(F.collect_list("__f").alias("__more"))
+    merge = F.arrow_udf(_merged, returnType=SHAPE, functionType=ArrowUDFType.SCALAR)
+    out = out.withColumn(result, found).join(more, "__row", "left")
+    return out.withColumn(result, F.when(F.col("__more").isNull(), F.col(result)).otherwise(merge(F.col(result), F.col("__more")))).drop("__row", "__more")
 
 
 def _united(spans: list[dict]) -> list[dict]:
@@ -170,12 +203,14 @@ def _united(spans: list[dict]) -> list[dict]:
     return out
 
 
-def _merged(a: pa.Array, b: pa.Array) -> pa.Array:
+def _merged(last: pa.Array, others: pa.Array) -> pa.Array:
     rows = []
-    for x, y in zip(a.to_pylist(), b.to_pylist()):
-        words = _united(x["words"] + y["words"])
-        spans = _joined(words, x["words"] + y["words"], x["spans"] + y["spans"])
-        rows.append({"n_words": x["n_words"], "n_hit": sum(w["end"] - w["start"] for w in words), "words": words, "spans": spans, "items": sorted({*x["items"], *y["items"]})})
+    for x, more in zip(last.to_pylist(), others.to_pylist()):
+        each = [x, *(more or [])]
+        runs, places = [w for y in each for w in y["words"]], [s for y in each for s in y["spans"]]
+        words = _united(runs)
+        items = sorted({i for y in each for i in y["items"]})
+        rows.append({"n_words": x["n_words"], "n_hit": sum(w["end"] - w["start"] for w in words), "words": words, "spans": _joined(words, runs, places), "items": items})
     return pa.array(rows, ARROW)
 
 
@@ -194,8 +229,11 @@ def contaminated(result: str = "contamination", share: int = 20):
     return (hit > 0) & (hit * share >= words)
 
 
-def remove_contamination(docs: DataFrame, benchmark: DataFrame, *, spans: bool = False, share: int = 20, text: str = "text", result: str = "contamination", **options) -> DataFrame:
-    """Drop contaminated documents, or with ``spans`` cut the hit passages out of every text."""
+def remove_contamination(docs: DataFrame, benchmark: DataFrame, *, spans: bool = False, share: int = 20, text: str = "text", result: str = "__contamination", **options) -> DataFrame:
+    """Drop contaminated documents, or with ``spans`` cut the hit passages out of every text.
+
+    ``result`` names a column of the way only, so it must not be one of ``docs``.
+    """
     found = find_contamination(docs, benchmark, text=text, result=result, **options)
     if not spans:
         return found.where(~contaminated(result, share)).select(*docs.columns)
@@ -214,10 +252,33 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = "contamination"
     return found.select(
         "doc_id", F.col(f"{c}.n_words").alias("n_words"), F.col(f"{c}.n_hit").alias("n_hit"), F.size(f"{c}.items").cast("long").alias("n_items"),
-        F.sha2(F.array_join(f"{c}.items", ","), 256).alias("items_sha256"), contaminated().alias("contaminated"), F.col(f"{c}.spans").alias("spans"),
+        F.sha2(F.array_join(f"{c}.items", ","), 256).alias("items_sha256"), contaminated().alias("contaminated"),
     )
 
 
+OP1_SQL = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), bw AS (
+  SELECT DISTINCT item, least(len(w), 13) AS n, array_to_string(w[i : i + least(len(w), 13) - 1], ' ') AS k
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 13, 0) + 2)) AS i FROM b WHERE len(w) > 0)
+), dw AS (
+  SELECT r, n, i, array_to_string(w[i : i + n - 1], ' ') AS k FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)
+), hit AS (
+  SELECT dw.r, dw.i, dw.n, bw.item FROM dw JOIN bw USING (n, k)
+), words AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hit) GROUP BY r
+), items AS (
+  SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS ids FROM hit WHERE item IS NOT NULL GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
+"""
+
+
 def brute_force(docs: list[tuple], items: list[tuple], window: int = 13) -> list[tuple]:
     """The contract of op1 on plain Python values, for tests."""
     import re

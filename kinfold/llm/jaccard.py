@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import ArrowUDFType
 
 from . import textscan as ts
-from .components import components
+from .components import components, lookup
 from .store import forget, settle
 
 SHINGLE = 5
@@ -44,7 +44,7 @@ NUM, DEN = 4, 5
 #: Shingles held as frequent at most, and the documents of a batch from which one counts as such.
 FREQUENT, BATCH_COUNT = 100_000, 8
 #: Bytes of index that one task gets; entries from which a list isn't gathered.
-BUCKET_BYTES, HOT_LIST = 16 << 20, 500_000
+BUCKET_BYTES, HOT_LIST = 8 << 20, 500_000
 #: Members of a group whose bitmaps one task compares, and whose texts it compares.
 GROUP, PART = 1500, 400
 #: Rows of candidates for a task, besides what one group has.
@@ -550,9 +550,10 @@ def similar(docs: DataFrame, *, text: str = "text", id: str = "doc_id") -> DataF
     shared = names(rows)
     rows = rows.withColumn("key", resolved(shared)).drop("check")
     least = components(links(docs, rows.where("n > 0 OR size(frequent) > 0"), text=text, id=id, shared=shared))
-    named = rows.select("id", "key", "n").join(least, F.col("key") == F.col("node"), "left").withColumn("class", F.coalesce("least", "key"))
-    first = named.where("n > 0").groupBy("class").agg(F.min("id").alias("first"))
-    out = named.join(first, "class", "left")
+    named = lookup(rows.select("id", "key", "n"), "key", settle(least.withColumnRenamed("node", "key")))
+    named = settle(named.withColumn("class", F.coalesce("least", "key")).drop("least"))
+    first = settle(named.where("n > 0").groupBy("class").agg(F.min("id").alias("first")))
+    out = lookup(named, "class", first)
     return out.select("id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("first")).otherwise(F.col("id")).alias("component_id"))
 
 

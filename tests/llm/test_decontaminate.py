@@ -1,3 +1,4 @@
+import duckdb
 import pytest
 
 from kinfold.llm import decontaminate as d
@@ -51,4 +52,15 @@ def test_driver_tables(spark):
     items = [tuple(r) for r in spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text").collect()]
     got = sorted(tuple(r)[:6] for r in d.op1_decontaminate(spark, sf).collect())
     assert got == sorted(d.brute_force(docs, items))
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS FROM '{sf}/{t}.parquet'")
+    assert got == sorted(con.execute(d.OP1_SQL).fetchall())
     assert any(r[5] for r in got)
+
+
+def test_clashing_columns_stay(spark):
+    docs = spark.createDataFrame([(4, "x", "a"), (5, "short item here", "b")], "doc_id long, text string, contamination string")
+    items = spark.createDataFrame([(1, "short item here")], "item_id long, text string")
+    assert [tuple(r) for r in d.remove_contamination(docs, items).collect()] == [(4, "x", "a")]
+    assert sorted(tuple(r) for r in d.remove_contamination(docs, items, spans=True).collect()) == [(4, "x", "a"), (5, "", "b")]
