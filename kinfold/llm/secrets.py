@@ -3,11 +3,16 @@
 Three base kinds are reported as their patterns find them.  Beyond them, runs that look like
 base64 or hex are decoded and reported only if the bytes parse as what a secret is made of: a
 private key as nested tag-length-value fields whose lengths add up, an OpenSSH key as
-length-prefixed fields, or a signed token whose header is JSON with an algorithm.
+length-prefixed fields, a PGP secret key as a packet, or a signed token whose header is JSON with an
+algorithm.  A key may stand between armour lines, with headers, encrypted, with line ends written
+as ``\\n``, or bare in one line or several, and in hex with colons or without: where a bare key ends
+is told by the length that it declares.
 
 Defined results: a null text counts as empty and has no spans; positions are code points, ends
-exclusive; equal spans of one kind are reported once.  Other columns stay as they are, except that
-one named like the result is replaced.
+exclusive; equal spans of one kind are reported once; spans that begin together stand in the order
+of kinds; repeated rows and equal texts get equal spans; very long texts are read to their end, in
+time linear in their length; an empty table gives an empty result.  Other columns stay as they are,
+except that one named like the result is replaced.
 """
 
 from __future__ import annotations
@@ -16,6 +21,7 @@ import base64
 import binascii
 import json
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,10 +38,19 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")
 
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
-ENCODED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
-ANY_HEX = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")
-SIGNED = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
+BEGIN = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?)-----")
+HEADER = re.compile(r"^[A-Za-z][A-Za-z0-9-]*:.*$", re.MULTILINE)
+CHECKSUM = re.compile(r"^=[A-Za-z0-9+/]{4}\s*$", re.MULTILINE)
+# A key's first byte is 0x30 and its second a length, which is M and one of A to P in base64.
+BARE = re.compile(r"(?=M[A-P][A-Za-z0-9+/_-]{14})")
+BARE_HEX = re.compile(r"(?=30:?(?:81:?[0-9a-f]{2}:?|82:?[0-9a-f]{2}:?[0-9a-f]{2}:?|[1-7][0-9a-f]:?)02:?01:?0[01])", re.IGNORECASE)
+OPENSSH = "b3BlbnNzaC1rZXktdjE"
+# A header that begins with a brace and then a quote or white space.
+SIGNED = re.compile(r"(?<![A-Za-z0-9_-])(e[wy][A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
+RUN, HEX_RUN = re.compile(r"[A-Za-z0-9+/_-]+"), re.compile(r"[0-9A-Fa-f]+")
+BREAK, HEX_BREAK = re.compile(r"(?:(?:\\r)?\\n|\r?\n[\x20\t]*)"), re.compile(r":?(?:\r?\n)?[\x20\t]*")
+#: No private key is longer.
+LONGEST = 1 << 16
 
 SHAPE = f"struct<{','.join(f'n_{k}:bigint' for k in BASE)},spans:array<struct<kind:string,start:int,end:int>>>"
 ARROW = pa.struct([*[(f"n_{k}", pa.int64()) for k in BASE], ("spans", pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])))])
@@ -89,6 +104,40 @@ def is_private_key(data: bytes | None) -> bool:
     return rsa or dsa or elliptic or wrapped
 
 
+def is_wrapped_key(data: bytes | None) -> bool:
+    """An encrypted key: the algorithm's sequence, and the bytes."""
+    outer = fields(data) if data and data[0] == 0x30 else None
+    inner = fields(outer[0][1]) if outer and len(outer) == 1 else None
+    return bool(inner) and [t for t, _ in inner] == [0x30, 0x04] and bool(kind := fields(inner[0][1])) and kind[0][0] == 0x06
+
+
+def is_pgp_secret(data: bytes | None) -> bool:
+    """A packet of a secret key or subkey, whose declared length is there."""
+    if not data or len(data) < 8 or not data[0] & 0x80:
+        return False
+    if data[0] & 0x40:
+        tag, first = data[0] & 0x3F, data[1]
+        n, at = (first, 2) if first < 192 else (((first - 192) << 8) + data[2] + 192, 3) if first < 224 else (int.from_bytes(data[2:6], "big"), 6)
+    else:
+        tag, wide = data[0] >> 2 & 0xF, data[0] & 3
+        if wide == 3:
+            return False
+        n, at = int.from_bytes(data[1 : 1 + (1 << wide)], "big"), 1 + (1 << wide)
+    return tag in (5, 7) and data[at] in (3, 4, 5, 6) and 8 <= n <= len(data) - at
+
+
+def declared(data: bytes) -> int | None:
+    """How long a key is that begins like this: outer length, then a version of 0 or 1."""
+    if len(data) < 7 or data[0] != 0x30:
+        return None
+    wide = data[1] & 0x7F if data[1] & 0x80 else 0
+    if wide > 2 or (data[1] & 0x80 and not wide):
+        return None
+    n = int.from_bytes(data[2 : 2 + wide], "big") if wide else data[1]
+    version = data[2 + wide : 5 + wide]
+    return 2 + wide + n if version in (b"\x02\x01\x00", b"\x02\x01\x01") and n < LONGEST else None
+
+
 def is_openssh(data: bytes | None) -> bool:
     magic = b"openssh-key-v1\x00"
     if not data or not data.startswith(magic):
@@ -102,6 +151,94 @@ def is_openssh(data: bytes | None) -> bool:
     return 1 <= int.from_bytes(data[i : i + 4], "big") <= 16
 
 
+def openssh_length(data: bytes) -> int | None:
+    """How many bytes the fields of such a key fill, if they are all there."""
+    i = len(b"openssh-key-v1\x00")
+    for part in range(4):
+        if part == 3:  # public keys as many as said, and the private part
+            keys, i = int.from_bytes(data[i : i + 4], "big"), i + 4
+        for _ in range(keys + 1 if part == 3 else 1):
+            i += 4 + int.from_bytes(data[i : i + 4], "big")
+            if i > len(data):
+                return None
+    return i
+
+
+def openssh_keys(text: str) -> list[tuple[int, int]]:
+    """Bare keys over several lines as far as their fields reach, or else a line that begins as one."""
+    out, at = [], text.find(OPENSSH)
+    while at >= 0:
+        body, _ = gathered(text, at, 4 * LONGEST // 3, RUN, BREAK)
+        line = RUN.match(text, at)[0]
+        data = decoded(body[: len(body) // 4 * 4])
+        n = openssh_length(data) if is_openssh(data) else None
+        end = at
+        if n:
+            end = gathered(text, at, -(-n * 4 // 3), RUN, BREAK)[1]
+        elif is_openssh(decoded(line)):
+            end = at + len(line)
+        if end > at:
+            end += len(re.match("={0,2}", text[end : end + 2])[0])
+            out.append((at, end))
+        at = text.find(OPENSSH, max(end, at + len(OPENSSH)))
+    return out
+
+
+def armoured(body: str, label: str) -> bool:
+    """Whether what stands between armour lines is a key; headers and line ends are set aside."""
+    plain = body.replace("\\r", "").replace("\\n", "\n")
+    headers = HEADER.findall(plain)
+    data = decoded(re.sub(r"\s+", "", CHECKSUM.sub("", HEADER.sub("", plain))))
+    if not data:
+        return False
+    if label.endswith("BLOCK"):
+        return is_pgp_secret(data)
+    if any(h.startswith("Proc-Type:") and "ENCRYPTED" in h for h in headers):  # the bytes are a cipher's blocks
+        return any(h.startswith("DEK-Info:") for h in headers) and len(data) >= 16 and len(data) % 8 == 0
+    return is_private_key(data) or is_openssh(data) or ("ENCRYPTED" in label and is_wrapped_key(data))
+
+
+def gathered(text: str, at: int, n: int, run: re.Pattern, gap: re.Pattern) -> tuple[str, int]:
+    """Up to n characters of an alphabet from a place on, and where they end, over gaps of one kind."""
+    parts, held = [], 0
+    while held < n:
+        m = run.match(text, at)
+        if not m:
+            break
+        part = m[0][: n - held]
+        parts.append(part)
+        held, at = held + len(part), at + len(part)
+        if held < n:
+            g = gap.match(text, at)
+            if not g or g.end() == at:
+                break
+            at = g.end()
+    return "".join(parts), at
+
+
+def bare_keys(text: str) -> list[tuple[int, int]]:
+    """Keys without armour, in base64 or hex; each is as long as it declares to be."""
+    out, done = [], 0
+    for m in BARE.finditer(text):
+        n = declared(decoded(text[m.start() : m.start() + 16]) or b"") if m.start() >= done else None
+        if n:
+            body, end = gathered(text, m.start(), -(-n * 4 // 3), RUN, BREAK)
+            data = decoded(body)
+            if data and is_private_key(data[:n]):
+                done = end + len(re.match("={0,2}", text[end : end + 2])[0])
+                out.append((m.start(), done))
+    done = 0
+    for m in BARE_HEX.finditer(text):
+        head = bytes.fromhex(re.sub(":", "", text[m.start() : m.start() + 21])[:14]) if m.start() >= done else b""
+        n = declared(head)
+        if n:
+            body, end = gathered(text, m.start(), 2 * n, HEX_RUN, HEX_BREAK)
+            if len(body) == 2 * n and is_private_key(bytes.fromhex(body)):
+                done = end
+                out.append((m.start(), end))
+    return out
+
+
 def is_signed_token(head: str, body: str) -> bool:
     try:
         header = json.loads(decoded(head) or b"")
@@ -122,20 +259,18 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
 def confirmed_spans(text: str) -> list[tuple[int, str, int]]:
     out = []
     if "-----BEGIN" in text:
-        for m in PEM.finditer(text):
-            data = decoded(re.sub(r"\s+", "", m[2]))
-            if is_private_key(data) or is_openssh(data) or ("ENCRYPTED" in m[1] and data and fields(data)):
-                out.append((m.start(), "pem", m.end()))
-    for m in ENCODED.finditer(text):
-        # a key's first byte is 0x30, which is M in base64; the magic of the other kind is fixed
-        if m[0][0] == "M" and is_private_key(decoded(m[0])):
-            out.append((m.start(), "key", m.end()))
-        elif m[0].startswith("b3BlbnNzaC1rZXktdjE") and is_openssh(decoded(m[0])):
-            out.append((m.start(), "openssh", m.end()))
-    for m in ANY_HEX.finditer(text):
-        if m[0].startswith("30") and is_private_key(bytes.fromhex(m[0])):
-            out.append((m.start(), "key", m.end()))
-    if "eyJ" in text:
+        begins = list(BEGIN.finditer(text))
+        for m, limit in zip(begins, [*[b.start() for b in begins[1:]], len(text)]):
+            last = f"-----END {m[1]}-----"
+            end = text.find(last, m.end(), limit)
+            if end >= 0 and armoured(text[m.end() : end], m[1]):
+                out.append((m.start(), "pem", end + len(last)))
+    starts, ends = [a for a, _, _ in out], [b for _, _, b in out]
+    inside = lambda a: (k := bisect_right(starts, a)) > 0 and a < ends[k - 1]
+    out += [(a, "key", b) for a, b in bare_keys(text) if not inside(a)]
+    if OPENSSH in text:
+        out += [(a, "openssh", b) for a, b in openssh_keys(text) if not inside(a)]
+    if "ey" in text or "ew" in text:
         out += [(m.start(), "token", m.end()) for m in SIGNED.finditer(text) if is_signed_token(m[1], m[2])]
     return out
 

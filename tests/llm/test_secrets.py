@@ -56,6 +56,44 @@ def test_structure_is_confirmed(spark):
     assert not any(kinds[i] for i in range(5, 9))
 
 
+def wrapped(encoded, width=64, line="\n"):
+    return line.join(encoded[i : i + width] for i in range(0, len(encoded), width))
+
+
+def test_keys_in_every_dress(spark):
+    encoded = base64.b64encode(KEY).decode()
+    lines = wrapped(encoded)
+    pem = lambda body, label="RSA PRIVATE KEY": f"-----BEGIN {label}-----\n{body}\n-----END {label}-----"
+    cipher = base64.b64encode(bytes(range(160))).decode()
+    legacy = f"Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00112233445566778899AABBCCDDEEFF\n\n{wrapped(cipher)}"
+    pkcs8 = base64.b64encode(der(0x30, der(0x30, der(6, b"\x2a\x86\x48") + der(0x30, b"")) + der(4, bytes(range(64))))).decode()
+    packet = bytes([0x95]) + (120).to_bytes(2, "big") + b"\x04" + bytes(range(119))
+    pgp = f"Version: x\n\n{wrapped(base64.b64encode(packet).decode())}\n=AbCd"
+    colons = ":".join(f"{b:02x}" for b in KEY)
+    token = ".".join(base64.urlsafe_b64encode(x.encode()).decode().rstrip("=") for x in ('{ "alg": "HS256" }', '{"sub": 1}')) + ".c2ln"
+    newline = ".".join(base64.urlsafe_b64encode(x.encode()).decode().rstrip("=") for x in ('{\n "alg": "HS256"}', '{"sub": 1}')) + ".c2ln"
+    field = lambda x: len(x).to_bytes(4, "big") + x
+    ssh = base64.b64encode(b"openssh-key-v1\0" + field(b"none") + field(b"none") + field(b"") + (1).to_bytes(4, "big") + field(b"p" * 51) + field(b"q" * 130)).decode()
+    found = [
+        ('{"key": "' + pem(lines).replace("\n", "\\n") + '"}', "pem"), (pem(legacy), "pem"), (pem(pkcs8, "ENCRYPTED PRIVATE KEY"), "pem"), (pem(pgp, "PGP PRIVATE KEY BLOCK"), "pem"),
+        (f"the key\n{lines}\nends here", "key"), (f"https://h/{encoded} x", "key"), (wrapped(colons, 45), "key"), (lines.replace("\n", "\\n"), "key"),
+        (token, "token"), (newline, "token"), (wrapped(ssh, 70) + "\nafterwards", "openssh"),
+    ]
+    clean = [
+        pem(legacy.replace("DEK-Info", "Other")), pem(pgp.replace("\n\n", "\n\nAAAA"), "PGP PRIVATE KEY BLOCK"), pem(pkcs8), "MIIB" * 4000, "30:82:" * 3000, "M" + "A" * 9000, "-----BEGIN PRIVATE KEY-----" * 3000,
+        token.replace(".", ":"),
+    ]
+    got = spans(spark, [t for t, _ in found] + clean)
+    for i, (t, kind) in enumerate(found):
+        own = [x for x in got[i].spans if x.kind not in s.BASE]
+        assert [x.kind for x in own] == [kind], (t[:60], own)
+    body = found[4][0]
+    assert [body[x.start : x.end] for x in got[4].spans if x.kind == "key"] == [lines]
+    assert [found[10][0][x.start : x.end] for x in got[10].spans if x.kind == "openssh"] == [wrapped(ssh, 70)]
+    for i, t in enumerate(clean):
+        assert not {x.kind for x in got[len(found) + i].spans} - set(s.BASE), t[:60]
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.001"
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
