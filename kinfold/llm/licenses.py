@@ -3,13 +3,16 @@
 A template is plain wording with two kinds of markup: ``{? ... ?}`` may be missing, and ``{* n *}``
 stands for up to n words of any kind.  Templates are compiled into token automata; a text is
 accepted where all mandatory wording stands exactly, word for word, with case, punctuation and
-line breaks set aside.  Each automaton is started only where its first three words stand.
+line breaks set aside.  Each automaton is started only where its first three words stand.  Markup
+isn't nested; a gap before the first word takes no words, since a text may begin anywhere; a template
+without mandatory wording is an error.
 
 Phrases of the base are reported wherever their words stand consecutively.
 
 Defined results: a null or empty text has no words, no labels and score 0; overlapping places all
-count; equal labels are reported once.  Other columns stay as they are, except that one named like
-the result is replaced.
+count; a template that is accepted at several lengths takes the fewest words; equal labels are named
+once; repeated rows get equal results; very long texts are scanned whole; an empty table gives an
+empty result.  Other columns stay as they are, except that one named like the result is replaced.
 """
 
 from __future__ import annotations
@@ -24,41 +27,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import ArrowUDFType
 
 from . import textscan as ts
+from .license_texts import TEMPLATES
 
 #: Phrase -> label of the base.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-#: Label -> templates of the wording that public licenses prescribe.
-TEMPLATES = {
-    "mit-text": [
-        """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"),
-        to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense,
-        and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
-        The above copyright notice and this permission notice {? (including the next paragraph) ?} shall be included in all copies or substantial portions
-        of the Software."""
-    ],
-    "isc-text": [
-        """Permission to use, copy, modify, {? and/or ?} {? and ?} distribute this software for any purpose with or without fee is hereby granted, provided that
-        the above copyright notice and this permission notice appear in all copies."""
-    ],
-    "bsd-text": [
-        """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
-        {? 1 ?} Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
-        {? 2 ?} Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the
-        documentation and/or other materials provided with the distribution."""
-    ],
-    "apache-notice": [
-        """Licensed under the Apache License, Version 2.0 {? (the "License"); you may not use this file except in compliance with the License. ?}""",
-    ],
-    "gpl-notice": [
-        """This {? work ?} {? program ?} {? file ?} {? software ?} is {? free software and is ?} licensed under the {? terms of the ?} GNU General Public License, {? as published by the Free Software Foundation ?} version {* 2 *}""",
-        """under the terms of the GNU General Public License as published by the Free Software Foundation, either version {* 4 *} or (at your option) any later version""",
-    ],
-    "mit-notice": ["""Released under the {? terms of the ?} MIT License""", """Licensed under the {? terms of the ?} MIT License"""],
-    "cc-by-nc": ["""Licensed under CC BY-NC {* 2 *}""", """licensed under a Creative Commons Attribution-NonCommercial {* 2 *} {? International ?} License"""],
-    "cc-by": ["""licensed under a Creative Commons Attribution {* 2 *} {? International ?} License"""],
-}
-
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 MARK = re.compile(r"\{\?(.*?)\?\}|\{\*\s*(\d+)\s*\*\}", re.DOTALL)
 ANCHOR = 3
@@ -77,7 +50,10 @@ class Automaton:
         for m in MARK.finditer(template):
             self._read(template[at : m.start()])
             if m[2]:
-                self.states.append((None, -int(m[2])))
+                if any(w is not None for w, _ in self.states):
+                    self.states.append((None, -int(m[2])))
+            elif "{" in m[1]:
+                raise ValueError(f"nested markup in a template of {label}")
             else:
                 inner = split(m[1])
                 self.states.append((None, len(self.states) + 1 + len(inner)))
@@ -87,13 +63,15 @@ class Automaton:
         optional = {k for i, (_, to) in enumerate(self.states) if to and to > 0 for k in range(i + 1, to)}
         self.mandatory = [w is not None and i not in optional for i, (w, _) in enumerate(self.states)]
         self.total = sum(self.mandatory)
+        if not self.total:
+            raise ValueError(f"no mandatory wording in a template of {label}")
         self.anchors = self._anchors()
 
     def _read(self, text: str) -> None:
         self.states += [(w, None) for w in split(text)]
 
-    def _anchors(self) -> set[tuple[bytes, ...]] | None:
-        """What the first words can be, or None where a gap comes among them."""
+    def _anchors(self) -> set[tuple[bytes, ...]]:
+        """What the first words can be, as far as a gap among them; never nothing."""
         out, todo = set(), [(0, ())]
         while todo:
             i, seen = todo.pop()
