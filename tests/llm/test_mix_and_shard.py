@@ -1,6 +1,10 @@
+import random
 import re
+import zlib
 from collections import Counter
 
+import pytest
+
 from kinfold.llm import mix as m
 from kinfold.llm import shard as s
 
@@ -98,3 +102,36 @@ def test_shards_are_even(spark):
     for r in got:
         together.setdefault((r.text_crc32, r.size), set()).add(r.shard)
     assert all(len(v) == 1 for v in together.values())
+
+
+@pytest.mark.parametrize("part_bytes", [s.PART_BYTES, 400])
+def test_law_of_bytes(spark, tmp_path, monkeypatch, part_bytes):
+    """Every column of op9 against plain Python: sizes, checksums, gapless slots, even shards, whole groups."""
+    monkeypatch.setattr(s, "PART_BYTES", part_bytes)
+    rng = random.Random(3)
+    rows = documents() + [(2000 + i, "hot text " * 9, "en", "src0", 1) for i in range(300)] + [(3000 + i, f"{rng.random()} " * rng.randint(1, 30), "en", "src1", 1) for i in range(700)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    got = s.op9_shard(spark, str(tmp_path)).collect()
+    plain = lambda t: (len((t or "").encode()) + 1, zlib.crc32((t or "").encode()))
+    assert Counter((r.doc_id, r["size"], r.text_crc32) for r in got) == Counter((d, *plain(t)) for d, t, *_ in rows)
+    assert {(r.law, r.grown_shard) for r in got} == {("bytes", None)}
+    slots, held, together = {}, Counter(), {}
+    for r in got:
+        slots.setdefault(r.shard, []).append(r.slot)
+        held[r.shard] += r["size"]
+        together.setdefault((r.text_crc32, r["size"]), Counter())[r.shard] += r["size"]
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values()) and set(slots) == set(range(8))
+    total = sum(held.values())
+    longest = max(plain(t)[0] for _, t, *_ in rows)
+    assert all(abs(v - total / 8) < 0.04 * total / 8 + longest for v in held.values())
+    assert all(len(c) == 1 for c in together.values() if sum(c.values()) <= total / 8 / 32)
+
+
+def test_sources_come_near_their_targets(spark):
+    """300 sources of fewer than 100 words beside a large one: all within a tenth of their targets."""
+    rows = [(i, " ".join(["w"] * 900), "big") for i in range(300)] + [(1000 + i, " ".join(["w"] * (1 + i % 99)), f"s{i:03d}") for i in range(300)]
+    taken, target = Counter(), {}
+    for r in m.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect():
+        taken[r.source] += sum(r.passes)
+        target[r.source] = r.target
+    assert len(target) == 301 and all(0.9 * t <= taken[x] + 1 and taken[x] <= t for x, t in target.items())
