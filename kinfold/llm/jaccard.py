@@ -558,12 +558,12 @@ def similar(docs: DataFrame, *, text: str = "text", id: str = "doc_id") -> DataF
 
 
 def keep_one(docs: DataFrame, *, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """One document of each component, the one with the least id; of repeated rows one.
+    """One document of each component, the one with the least id, null ids last; of repeated rows one.
 
     Texts aren't shuffled unless more rows go than may be broadcast, or rows are repeated.
     """
     key = F.xxhash64(F.col(text))
-    named = settle(similar(docs.select(F.struct(F.col(id).alias("id"), key.alias("key")).alias("__id"), F.col(text)), text=text, id="__id"))
+    named = settle(similar(docs.select(F.struct(F.col(id).isNull().alias("none"), F.col(id).alias("id"), key.alias("key")).alias("__id"), F.col(text)), text=text, id="__id"))
     gone = settle(named.where("NOT (id <=> component_id)").select("id.id", "id.key").distinct())
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
     rows = docs.withColumn("__key", key)

@@ -2,9 +2,9 @@ import re
 from collections import Counter
 
 import corpus_pipeline as c
-from kinfold.llm import decontaminate, jaccard, mix
+from kinfold.llm import decontaminate, jaccard, mix, quality
 
-from .cases import SCHEMA, documents
+from .cases import SCHEMA, documents, with_ids
 from .test_quality import plain
 
 
@@ -47,3 +47,25 @@ def test_stages_bear_odd_rows(spark):
             out = stage(spark, df, "/root/testdata/sf0.001")
             assert name == c.STAGES[-1][0] or out.columns == docs.columns
             assert out.count() <= 2 * df.count()
+
+
+def test_odd_rows_stage_by_stage(spark):
+    """Which rows stay, by plain versions of the first three stages, with nulls and repeated rows."""
+    rows = documents()
+    docs = spark.createDataFrame(rows, SCHEMA)
+    stages = dict(c.STAGES)
+    good = [tuple(r) for r in stages["quality rules"](spark, docs, "").collect()]
+    texts = Counter(r[:2] for r in good)
+    assert texts == Counter(r[:2] for r in rows if r[:2] in texts) and all(len((r[1] or "").split()) >= 50 for r in good)
+    kept = [tuple(r) for r in stages["n-gram Jaccard join"](spark, docs, "").collect()]
+    first = {d: x for d, _, x in jaccard.brute_force([(r[0], r[1]) for r in with_ids(rows)])}
+    assert {r[0] for r in kept if r[0] is not None} == {d for d, x in first.items() if d == x}
+    clean = stages["benchmark decontamination"](spark, docs, "/root/testdata/sf0.001").collect()
+    assert Counter(r.doc_id for r in clean) == Counter(r[0] for r in rows)
+
+
+def test_the_filter_stays_above_the_ledger(spark):
+    """Every rule measures a text once: the plan has one projection of the ledger below the filter."""
+    docs = spark.createDataFrame(documents(), SCHEMA)
+    plan = quality.keep_good(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp") <= 2 * plan.count("Project") and plan.index("Filter") < plan.index("monotonically_increasing_id")
