@@ -494,11 +494,13 @@ def links(docs: DataFrame, rows: DataFrame, *, text: str = "text", id: str = "do
     frequent = spark.sparkContext.broadcast((h[order], rank[order]) if len(h) else ())
 
     buckets = max(16, -(-int(shingles * (DEN - NUM) / DEN * ENTRY.itemsize) // BUCKET_BYTES))
-    index = settle(keyed.select("key", "body").mapInArrow(_index(buckets, frequent), "bucket int, data binary"))
-    cool, hot = _heavy(index)
+    index = keyed.select("key", "body").mapInArrow(_index(buckets, frequent), "bucket int, data binary")
+    # a hot list is one of a frequent shingle; where there is none, the index goes to its buckets at once
+    written = [settle(index)] if len(n) and n.max() > HOT_LIST else []
+    cool, hot = _heavy(written[0]) if written else (index, None)
     found = cool.groupBy("bucket").applyInArrow(_lists, "text bigint, pivot bigint")
     pairs = settle((found.union(hot) if hot is not None else found).distinct())
-    forget(spark, index)
+    forget(spark, *written)
 
     # groups that one task can hold lose what bitmaps keep apart; larger ones go on whole
     several = pairs.groupBy("pivot").agg(F.count("*").alias("members"))

@@ -83,6 +83,7 @@ def test_blocks_are_skipped():
 def test_hot_lists(spark, monkeypatch):
     monkeypatch.setattr(j, "BUCKET_BYTES", 64)
     monkeypatch.setattr(j, "HOT_LIST", 3)
+    monkeypatch.setattr(j, "BATCH_COUNT", 2)
     seen = []
     heavy = j._heavy
     monkeypatch.setattr(j, "_heavy", lambda index: seen.append(heavy(index)) or seen[-1])
