@@ -46,9 +46,9 @@ FREQUENT, BATCH_COUNT = 100_000, 8
 #: Bytes of index that one task gets; entries from which a list isn't gathered.
 BUCKET_BYTES, HOT_LIST = 8 << 20, 500_000
 #: Members of a group whose bitmaps one task compares, and whose texts it compares.
-GROUP, PART = 1500, 400
-#: Rows of candidates for a task, besides what one group has.
-TASK_ROWS = 1000
+GROUP, PART = 1500, 300
+#: Rows of candidates that are compared together, besides what one group has.
+TASK_ROWS = 300
 #: Rows of candidates up to which they are broadcast; beyond, texts are shuffled to them.
 BROADCAST_ROWS = 1_000_000
 

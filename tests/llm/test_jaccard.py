@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pytest
 
@@ -83,13 +85,21 @@ def test_blocks_are_skipped():
 def test_hot_lists(spark, monkeypatch):
     monkeypatch.setattr(j, "BUCKET_BYTES", 64)
     monkeypatch.setattr(j, "HOT_LIST", 3)
-    monkeypatch.setattr(j, "BATCH_COUNT", 2)
     seen = []
     heavy = j._heavy
-    monkeypatch.setattr(j, "_heavy", lambda index: seen.append(heavy(index)) or seen[-1])
-    rows = with_ids(documents())
-    assert sorted(map(tuple, j.similar(spark.createDataFrame(rows, SCHEMA)).collect())) == sorted(j.brute_force(pairs(rows)))
-    assert seen[0][1] is not None
+
+    def counted(index):
+        cool, hot = heavy(index)
+        seen.append(hot.count() if hot is not None else 0)
+        return cool, hot
+
+    monkeypatch.setattr(j, "_heavy", counted)
+    rng = random.Random(1)
+    base = [f"w{i}" for i in range(90)]
+    near = [" ".join(w if rng.random() > 0.01 else f"x{rng.random()}" for w in base) for _ in range(60)]
+    rows = with_ids(documents()) + [(5000 + i, t, "en", "src0", 1) for i, t in enumerate(near)]
+    got = sorted(map(tuple, j.similar(spark.createDataFrame(rows, SCHEMA).coalesce(1)).collect()))
+    assert got == sorted(j.brute_force(pairs(rows))) and seen[0] > 60
 
 
 def test_far_branches(spark, monkeypatch):
