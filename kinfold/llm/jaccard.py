@@ -43,6 +43,8 @@ SHINGLE = 5
 NUM, DEN = 4, 5
 #: Shingles held as frequent at most, and the documents of a batch from which one counts as such.
 FREQUENT, BATCH_COUNT = 100_000, 8
+#: Texts of an Arrow batch.
+BATCH = 2000
 #: Bytes of index that one task gets; entries from which a list isn't gathered.
 BUCKET_BYTES, HOT_LIST = 8 << 20, 500_000
 #: Members of a group whose bitmaps one task compares, and whose texts it compares.
@@ -87,14 +89,23 @@ def bitmap(s: np.ndarray) -> bytes:
 def _profile(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """Set sizes and bitmaps; a batch's frequent shingles ride on its first row."""
     for column in columns:
-        sets = [s for p in ts.pieces(column) for s in shingle_sets(p)]
-        rows = [{"n": len(s), "bits": bitmap(s), "frequent": None} for s in sets]
-        if sets:
-            every = np.sort(np.concatenate(sets))
-            edge = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.zeros(0, np.int64)
-            n = np.diff(np.append(edge, len(every)))
-            own = n >= BATCH_COUNT
-            rows[0]["frequent"] = [{"h": h, "n": c} for h, c in zip(every[edge[own]].view(np.int64).tolist(), n[own].tolist())]
+        sizes, bits, held = [], [], []
+        for p in ts.pieces(column):
+            sets = shingle_sets(p)
+            sizes += [len(s) for s in sets]
+            bits += [bitmap(s) for s in sets]
+            held.append(np.concatenate([NONE, *sets]))
+        every = np.concatenate([NONE, *held])
+        del held
+        every.sort()
+        # a shingle stands often if the same one is so many places further on
+        often = every[: max(0, len(every) - BATCH_COUNT + 1)]
+        often = np.unique(often[often == every[BATCH_COUNT - 1 :]])
+        n = np.searchsorted(every, often, "right") - np.searchsorted(every, often, "left")
+        del every
+        rows = [{"n": k, "bits": x, "frequent": None} for k, x in zip(sizes, bits)]
+        if rows:
+            rows[0]["frequent"] = [{"h": h, "n": c} for h, c in zip(often.view(np.int64).tolist(), n.tolist())]
         yield pa.array(rows, ARROW)
 
 
@@ -496,10 +507,10 @@ def links(docs: DataFrame, rows: DataFrame, *, text: str = "text", id: str = "do
     buckets = max(16, -(-int(shingles * (DEN - NUM) / DEN * ENTRY.itemsize) // BUCKET_BYTES))
     index = keyed.select("key", "body").mapInArrow(_index(buckets, frequent), "bucket int, data binary")
     # a hot list is one of a frequent shingle; where there is none, the index goes to its buckets at once
-    written = [settle(index)] if len(n) and n.max() > HOT_LIST else []
+    written = [settle(index, batch=BATCH)] if len(n) and n.max() > HOT_LIST else []
     cool, hot = _heavy(written[0]) if written else (index, None)
     found = cool.groupBy("bucket").applyInArrow(_lists, "text bigint, pivot bigint")
-    pairs = settle((found.union(hot) if hot is not None else found).distinct())
+    pairs = settle((found.union(hot) if hot is not None else found).distinct(), batch=BATCH)
     forget(spark, *written)
 
     # groups that one task can hold lose what bitmaps keep apart; larger ones go on whole
@@ -526,7 +537,7 @@ def links(docs: DataFrame, rows: DataFrame, *, text: str = "text", id: str = "do
         there = there.select("pivot", "part", "block", "text", "role", "body", task.alias("task"))
         return there.groupBy("task").applyInArrow(_compare, "a bigint, b bigint, linked boolean")
 
-    found = settle(compared(dealt.withColumn("block", F.lit(0))))
+    found = settle(compared(dealt.withColumn("block", F.lit(0))), batch=BATCH)
     edges = found.where("linked").select("a", "b")
     # a group in several parts: what isn't linked with the pivot meets the members of all parts
     many = dealt.where("parts > 1")
@@ -540,7 +551,7 @@ def links(docs: DataFrame, rows: DataFrame, *, text: str = "text", id: str = "do
         asked = many.where("role = 0").join(blocks, "pivot").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         columns = ["pivot", "part", "block", "text", "one"]
         both = settle(asks.select(*columns, F.lit(1).alias("role")).union(asked.select(*columns, F.lit(0).alias("role"))))
-        edges = edges.union(settle(compared(both)).select("a", "b"))
+        edges = edges.union(settle(compared(both), batch=BATCH).select("a", "b"))
     return edges
 
 

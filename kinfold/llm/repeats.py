@@ -52,6 +52,8 @@ LEFT, WIDTH = SIZE - GRAM, 2 * SIZE - GRAM
 WORDS = (WIDTH - LEFT) // 8
 #: Bytes that one task gets; contexts of a shard; contexts from which an anchor is split.
 TASK_BYTES, SHARD, SPLIT = 16 << 20, 32_768, 50_000
+#: Texts of an Arrow batch.
+BATCH = 4000
 #: Offsets of a split anchor's part.
 PART = 16
 #: Bytes of places or runs up to which they are broadcast; beyond, texts are shuffled to them.
@@ -465,7 +467,7 @@ def repeated_starts(rows: DataFrame, *, text: str = "text", split: int = SPLIT,
     total = keyed.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     buckets = max(16, -(-2 * total * ENTRY.itemsize // ((LEFT + 2) * TASK_BYTES)))
     index = keyed.mapInArrow(_index(buckets), "bucket int, kind int, data binary")
-    runs = settle(index.groupBy("bucket").applyInArrow(_repeated(split), RUNS))
+    runs = settle(index.groupBy("bucket").applyInArrow(_repeated(split), RUNS), batch=BATCH)
 
     # an anchor to split has over ``split`` entries, so they are few beside the corpus
     hot = np.sort(np.array([r.anchor for r in runs.where("hot").select("anchor").distinct().collect()], np.int64).view(np.uint64))
@@ -473,7 +475,7 @@ def repeated_starts(rows: DataFrame, *, text: str = "text", split: int = SPLIT,
     n = runs.where("NOT hot").count()
     there = keyed.join(F.broadcast(left) if n * ENTRY.itemsize <= BROADCAST_BYTES else left.hint("merge"), "row")
     tasks = max(16, -(-n * WIDTH // TASK_BYTES))
-    packed = settle(there.select("row", "body", "runs").mapInArrow(_transforms(int(tasks), shard, spark.sparkContext.broadcast(hot)), "key bigint, kind int, data binary"))
+    packed = settle(there.select("row", "body", "runs").mapInArrow(_transforms(int(tasks), shard, spark.sparkContext.broadcast(hot)), "key bigint, kind int, data binary"), batch=BATCH)
     forget(spark, runs)
     decided = packed.where("kind = 0").groupBy("key").applyInArrow(_merge, "key bigint, kind int, data binary")
     found = decided.union(packed.where("kind = 1")).groupBy("key").applyInArrow(_found, PASSAGES)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,7 +29,19 @@ def _path(spark: SparkSession, folder: str):
     return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def settle(df: DataFrame) -> DataFrame:
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int):
+    """Arrow batches of at most so many rows for the actions within: whole texts are large rows."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before))) if int(before) > 0 else str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def settle(df: DataFrame, batch: int = 10_000) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and go on from the files.
 
     Unlike checkpoint() this computes the plan a single time and keeps columns compressed;
@@ -37,7 +50,8 @@ def settle(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     folder = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
     path, files = _path(spark, folder)
-    df.write.parquet(folder)
+    with arrow_batches(spark, batch):
+        df.write.parquet(folder)
     files.deleteOnExit(path)
     return spark.read.schema(df.schema).parquet(folder)
 
