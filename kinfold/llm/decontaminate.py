@@ -174,7 +174,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = 1
     for n, (items, texts) in enumerate(_blocks(benchmark, item, item_text, block_bytes)):
         known = spark.sparkContext.broadcast((items, texts, window))
 
-        def scan(columns: Iterator[pa.Array], known=known) -> Iterator[pa.Array]:
+        @ts.lean
+        def scan(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
             windows = Windows(*known.value)
             for column in columns:
                 yield pa.array(_documents(column, windows), ARROW)

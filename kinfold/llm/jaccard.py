@@ -86,6 +86,7 @@ def bitmap(s: np.ndarray) -> bytes:
     return np.packbits(bits).tobytes()
 
 
+@ts.lean
 def _profile(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """Set sizes and bitmaps; a batch's frequent shingles ride on its first row."""
     for column in columns:
@@ -125,6 +126,7 @@ def prefix(n: int) -> int:
 
 
 def _index(buckets: int, frequent):
+    @ts.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = frequent.value
         for batch in batches:
@@ -208,6 +210,7 @@ def _pairs(text: np.ndarray, pivot: np.ndarray) -> np.ndarray:
     return np.unique(np.stack([text, pivot], axis=1), axis=0) if len(text) else np.zeros((0, 2), np.int64)
 
 
+@ts.lean
 def _lists(buckets: pa.Table) -> pa.Table:
     """(text, pivot) for every list that can hold a linked pair."""
     e = _entries(buckets.column("data").to_pylist())
@@ -352,6 +355,7 @@ class Classes:
         return to[one[other]]
 
 
+@ts.lean
 def _near(table: pa.Table) -> pa.Table:
     """Groups of sets that their bitmaps don't keep apart, in place of the groups around pivots.
 
@@ -390,6 +394,7 @@ def _near(table: pa.Table) -> pa.Table:
     return pa.table({"text": pairs[:, 0], "pivot": pairs[:, 1]})
 
 
+@ts.lean
 def _compare(table: pa.Table) -> pa.Table:
     """Links that suffice for the components of each group, and who is not linked with the pivot.
 

@@ -173,6 +173,7 @@ class Lattice:
         return forward[n]
 
 
+@ts.lean
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct words of a batch of texts, how often they stand in all and in training texts."""
     for batch in batches:
@@ -246,6 +247,7 @@ def score(docs: DataFrame, *, held_out: Column, text: str = "text", result: str
     if ends:
         begin = spark.sparkContext.broadcast((pieces, start))
 
+        @ts.lean
         def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lattice, total = Lattice(*begin.value), 0.0
             for b in batches:
@@ -259,6 +261,7 @@ def score(docs: DataFrame, *, held_out: Column, text: str = "text", result: str
         logp, end = np.log(n) - math.log(n.sum() + ends), math.log(ends) - math.log(n.sum() + ends)
     fitted = spark.sparkContext.broadcast((pieces, logp))
 
+    @ts.lean
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(*fitted.value)
         for b in batches:
@@ -281,6 +284,7 @@ def score(docs: DataFrame, *, held_out: Column, text: str = "text", result: str
     order = np.argsort(h)
     common = spark.sparkContext.broadcast((h[order], top.column("g").to_numpy().view(np.uint64)[order], np.stack([top.column(c).to_numpy().astype(float)[order] for c in ("known", "base", "score")])))
 
+    @ts.lean
     def scan(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
             yield _score_documents(column, *common.value)

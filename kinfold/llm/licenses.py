@@ -186,6 +186,7 @@ def find_licenses(docs: DataFrame, *, text: str = "text", result: str = "license
     that was read before it failed, and at least 0.5 where a base phrase stands.
     """
 
+    @ts.lean
     def scan(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scanner = Scanner(phrases, templates)
         for column in columns:

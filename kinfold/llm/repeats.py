@@ -121,6 +121,7 @@ def _index(buckets: int):
     """Anchors in packed rows by bucket.  Of an anchor that a batch holds several times one entry
     goes to the bucket; that all of them repeat is known here (kind 1)."""
 
+    @ts.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names, parts = batch.column(0).to_numpy(zero_copy_only=False), [np.empty(0, ENTRY)]
@@ -147,6 +148,7 @@ RUNS = "row bigint, lo int, span int, rel int, anchor bigint, hot boolean"
 
 
 def _repeated(split: int):
+    @ts.lean
     def run(table: pa.Table) -> pa.Table:
         """Places of the anchors that stand several times, and the anchors to split, as rows of their own."""
         kinds, data = table.column("kind").to_numpy(), table.column("data").to_pylist()
@@ -343,6 +345,7 @@ def interleave(shard: np.ndarray, block: np.ndarray, symbols: Iterator[np.ndarra
 DECIDED = np.dtype([("context", "<u4"), ("a", "<u2"), ("b", "<u2")])
 
 
+@ts.lean
 def _merge(table: pa.Table) -> pa.Table:
     """For each shard of a bucket, runs of columns where its contexts' strings repeat."""
     parts = [_unpack(x.as_py()) for x in table.column("data")]
@@ -379,6 +382,7 @@ def _merge(table: pa.Table) -> pa.Table:
 PASSAGES = "row bigint, lo int, hi int"
 
 
+@ts.lean
 def _found(table: pa.Table) -> pa.Table:
     """Starts of repeated strings, as runs of a text, from a shard's places and what is decided."""
     kinds, data = table.column("kind").to_numpy().tolist(), table.column("data").to_pylist()
@@ -400,6 +404,7 @@ def _found(table: pa.Table) -> pa.Table:
 def _transforms(buckets: int, shard: int, hot):
     """Packed parts of shards' transforms by bucket (kind 0), and shards' places (kind 1)."""
 
+    @ts.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, held, number = hot.value, [], TaskContext.get().partitionId() << 24
 
