@@ -46,7 +46,7 @@ FREQUENT, BATCH_COUNT = 100_000, 8
 #: Texts of an Arrow batch.
 BATCH = 2000
 #: Bytes of index that one task gets; entries from which a list isn't gathered.
-BUCKET_BYTES, HOT_LIST = 8 << 20, 500_000
+BUCKET_BYTES, HOT_LIST = 4 << 20, 500_000
 #: Members of a group whose bitmaps one task compares, and whose texts it compares.
 GROUP, PART = 1500, 300
 #: Rows of candidates that are compared together, besides what one group has.
@@ -564,7 +564,7 @@ def similar(docs: DataFrame, *, text: str = "text", id: str = "doc_id") -> DataF
     """(id, n_shingles, component_id): the least id that links lead to, for each row of ``docs``."""
     sizes = F.arrow_udf(_profile, returnType=SHAPE, functionType=ArrowUDFType.SCALAR_ITER)
     rows = docs.select(F.col(id).alias("id"), name(F.col(text)).alias("key"), check(F.col(text)).alias("check"), sizes(F.col(text)).alias("p"))
-    rows = settle(rows.select("id", "key", "check", "p.n", "p.bits", "p.frequent"))
+    rows = settle(rows.select("id", "key", "check", "p.n", "p.bits", "p.frequent"), batch=2 * BATCH)
     shared = names(rows)
     rows = rows.withColumn("key", resolved(shared)).drop("check")
     least = components(links(docs, rows.where("n > 0 OR size(frequent) > 0"), text=text, id=id, shared=shared))
