@@ -555,6 +555,107 @@ for _name in ("addr_token_jaccard", "name_in_text_share", "threshold_grid", "bes
     query(ORACLE_SQL[_name].replace("tk[5:16]", "tk[5:]"), f"{_name}_whole")(partial(QUERIES[_name], whole=True))
 
 
+# --- records with addresses ---------------------------------------------------------------------
+
+# Customers as businesses: names and addresses are written out from keys, so that the SQL knows each
+# part of an address from what it was made of, and not from patterns.
+GAZETTEER = ["Denver", "Boulder", "New Delhi", "Panaji", "Rennes", "Bastia"]
+PLACES = r"""place AS (
+  SELECT c_custkey AS k, lower(c_mktsegment || ' ' || n_name) AS name, lower(replace(r_name, ' ', '')) AS street,
+         CASE c_custkey % 4 WHEN 0 THEN 'US' WHEN 1 THEN 'India' WHEN 2 THEN 'France' ELSE '' END AS country,
+         CASE c_custkey % 4 WHEN 0 THEN ['Colorado', 'CO', 'Denver'] WHEN 1 THEN ['Goa', 'GA', 'Panaji'] WHEN 2 THEN ['Bretagne', 'BRE', 'Rennes'] ELSE ['Corse', '', 'Bastia'] END AS area,
+         (c_custkey % 40) || CASE WHEN c_custkey % 2 = 1 THEN 'b' ELSE '' END AS house, (c_custkey % 7)::VARCHAR AS unit, (c_custkey % 11)::VARCHAR AS box,
+         CASE c_custkey % 4 WHEN 1 THEN 403000 + c_custkey % 300 ELSE 35000 + c_custkey % 300 END || CASE WHEN c_custkey % 8 = 4 THEN '-1234' ELSE '' END AS code
+  FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey
+), prec AS (
+  SELECT (CASE k % 3 WHEN 0 THEN 'S1-' WHEN 1 THEN 'S2-' ELSE 'S3-' END) || k AS entity_id, country, name AS name_clean,
+         'house no ' || house || ', ' || street || ' street, unit ' || unit || ', ' || lower(area[1]) || ', p.o. box ' || box || ', ' || lower(area[3]) || ' ' || code AS addr_clean,
+         CASE WHEN country <> '' THEN code ELSE '' END AS postal, lower(area[3]) AS city, area[2] AS state, house AS house_number, (k % 40)::VARCHAR AS house_number_norm,
+         'house no ' || house || ', ' || street || ' street' AS upto, unit, box AS po_box FROM place
+), paddr AS (
+  SELECT * EXCLUDE (upto), trim(upto || substr(addr_clean, length(upto) + 1, 20)) AS road,
+         rtrim(upper(name_clean[1]) || substr(replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(codes, '1+', '1', 'g'), '2+', '2', 'g'), '3+', '3', 'g'), '4+', '4', 'g'), '5+', '5', 'g'), '6+', '6', 'g'), '0+', '0', 'g')[2:], '0', '') || '000', 1, 3)) AS soundex
+  FROM (SELECT *, translate(regexp_replace(upper(name_clean[1]) || regexp_replace(upper(name_clean[2:]), '[HW]', '', 'g'), '[^BFPVCGJKQSXZDTLMNR]', '0', 'g'), 'BFPVCGJKQSXZDTLMNR', '111122222222334556') AS codes FROM prec)
+)"""
+
+
+def addressed(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers as source records, with cues, mixed case, legal forms and two spellings of codes."""
+    nation = _table(spark, sf, "nation").join(_table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    c = _table(spark, sf, "customer").join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")).withColumn("k", F.col("c_custkey"))
+    k, pick = F.col("k"), lambda values: F.element_at(F.array(*map(F.lit, values)), (F.col("k") % len(values) + 1).cast("int"))
+    form = pick([" Inc.", " Pvt Ltd", " L.L.C", "", ", GmbH"])
+    code = F.concat((F.when(k % 4 == 1, 403000 + k % 300).otherwise(35000 + k % 300)).cast("string"), F.when(k % 8 == 4, "-1234").otherwise(""))
+    house = F.concat((k % 40).cast("string"), F.when(k % 2 == 1, "B").otherwise(""))
+    address = F.concat(
+        F.lit(" House No "), house, F.lit(", "), F.initcap(F.regexp_replace("r_name", " ", "")), F.lit(" Street, Unit "), (k % 7).cast("string"), F.lit(", "), pick(["Colorado", "Goa", "BRETAGNE", "Corse"]),
+        F.lit(", P.O. Box "), (k % 11).cast("string"), F.lit(", "), pick(["Denver", "PANAJI", "Rennes", "Bastia"]), F.lit(" "), code,
+    )
+    prefix = pick(["S1-", "S2-", "S3-"])
+    return c.select(F.concat(prefix, k.cast("string")).alias("entity_id"), F.concat("c_mktsegment", F.lit(" "), "n_name", form).alias("business_name"), address.alias("business_address"), pick(["US", "India", "France", ""]).alias("country"))
+
+
+def _placed(spark: SparkSession, sf: str) -> DataFrame:
+    return preprocess.preprocess(addressed(spark, sf), cities=GAZETTEER)
+
+
+PARTS = ["entity_id", "country", "name_clean", "addr_clean", "city", "state", "house_number", "house_number_norm", "road", "unit", "po_box", "soundex"]
+
+
+@query("WITH " + PLACES + f" SELECT {', '.join(PARTS)}, postal FROM paddr")
+def addressed_records(spark, sf):
+    return _placed(spark, sf).select(*PARTS, F.array_join("postal_codes", ",").alias("postal"))
+
+
+PLACE_KEYS = PLACES + """, pkey AS (
+  SELECT entity_id, country, 'PIN' AS kind, postal AS key FROM paddr WHERE postal <> '' UNION ALL SELECT entity_id, country, 'CITY_STATE', city || ':' || state FROM paddr WHERE state <> ''
+  UNION ALL SELECT entity_id, country, 'HOUSE', house_number_norm FROM paddr
+), ppair AS (
+  SELECT DISTINCT a.entity_id AS source1_entity_id, b.entity_id AS candidate_entity_id FROM pkey a JOIN pkey b USING (kind, key)
+  WHERE a.entity_id LIKE 'S1-%' AND b.entity_id NOT LIKE 'S1-%' AND (a.country = '' OR b.country = '' OR a.country = b.country)
+)"""
+PLACE_BLOCKING = BlockingConfig(name_phonetic=False, addr_phonetic=False, name_minhash=False, addr_minhash=False)
+
+
+@query("WITH " + PLACE_KEYS + " SELECT entity_id, kind, key FROM pkey UNION ALL SELECT entity_id, 'SOUNDEX', soundex FROM paddr")
+def addressed_keys(spark, sf):
+    keys = blocking.exact_keys(_placed(spark, sf), BlockingConfig(addr_phonetic=False))
+    return keys.where(F.col("kind").isin("PIN", "CITY_STATE", "HOUSE", "SOUNDEX")).select("entity_id", "kind", "key")
+
+
+@query("WITH " + PLACE_KEYS + """ SELECT entity_id AS source1_entity_id, coalesce(string_agg(candidate_entity_id, ',' ORDER BY candidate_entity_id), '') AS candidate_entity_ids, count(candidate_entity_id)::INTEGER AS num_candidates
+FROM paddr LEFT JOIN ppair ON entity_id = source1_entity_id WHERE entity_id LIKE 'S1-%' GROUP BY 1""")
+def addressed_candidates(spark, sf):
+    a, b = sides(_placed(spark, sf))
+    out = blocking.candidate_lists(blocking.candidates(a, b, PLACE_BLOCKING, capped=False), a)
+    return out.withColumn("candidate_entity_ids", F.array_join("candidate_entity_ids", ","))
+
+
+_SAME = "CASE WHEN a.{0} <> '' AND a.{0} = b.{0} THEN 1 ELSE 0 END::DOUBLE AS {1}"
+PLACE_FEATURES = ["pin_exact", "city_exact", "state_exact", "district_exact", "house_number_match", "road_match", "unit_match", "po_box_match", "soundex_match", "country_match", "addr_token_jaccard", "numeric_jaccard", "name1_in_addr2", "name2_in_addr1", "token_jaccard", "first_token_match", "levenshtein_norm"]
+_WORDS = "list_distinct(string_split({0}, ' '))"
+_NUMBERS = r"list_distinct(regexp_extract_all({0}, '\b\d+[A-Z\-/]*\b'))"
+_OVERLAP = "len(list_intersect({0}, {1})) / len(list_distinct(list_concat({0}, {1})))::DOUBLE"
+
+
+@query("WITH " + PLACE_KEYS + f""" SELECT source1_entity_id, candidate_entity_id, {_SAME.format('postal', 'pin_exact')}, {_SAME.format('city', 'city_exact')}, {_SAME.format('state', 'state_exact')}, 0::DOUBLE AS district_exact,
+  {_SAME.format('house_number', 'house_number_match')}, {_SAME.format('road', 'road_match')}, {_SAME.format('unit', 'unit_match')}, {_SAME.format('po_box', 'po_box_match')}, {_SAME.format('soundex', 'soundex_match')},
+  CASE WHEN a.country = b.country THEN 1 ELSE 0 END::DOUBLE AS country_match,
+  round({_OVERLAP.format(_WORDS.format('a.addr_clean'), _WORDS.format('b.addr_clean'))}, 6) AS addr_token_jaccard,
+  round({_OVERLAP.format(_NUMBERS.format('a.addr_clean'), _NUMBERS.format('b.addr_clean'))}, 6) AS numeric_jaccard,
+  round(len(list_intersect({_WORDS.format('a.name_clean')}, {_WORDS.format('b.addr_clean')})) / len({_WORDS.format('a.name_clean')})::DOUBLE, 6) AS name1_in_addr2,
+  round(len(list_intersect({_WORDS.format('b.name_clean')}, {_WORDS.format('a.addr_clean')})) / len({_WORDS.format('b.name_clean')})::DOUBLE, 6) AS name2_in_addr1,
+  round({_OVERLAP.format(_WORDS.format('a.name_clean'), _WORDS.format('b.name_clean'))}, 6) AS token_jaccard,
+  CASE WHEN string_split(a.name_clean, ' ')[1] = string_split(b.name_clean, ' ')[1] THEN 1 ELSE 0 END::DOUBLE AS first_token_match,
+  round(1 - levenshtein(a.name_clean, b.name_clean) / greatest(length(a.name_clean), length(b.name_clean))::DOUBLE, 6) AS levenshtein_norm
+FROM ppair JOIN paddr a ON a.entity_id = source1_entity_id JOIN paddr b ON b.entity_id = candidate_entity_id""")
+def addressed_features(spark, sf):
+    done = _placed(spark, sf)
+    a, b = sides(done)
+    featured = features.pair_features(features.hydrate(blocking.candidates(a, b, PLACE_BLOCKING, capped=False), a, b))
+    return featured.select(S1, C, *[F.round(f, 6).alias(f) for f in PLACE_FEATURES])
+
+
 # --- learning -----------------------------------------------------------------------------------
 
 

@@ -68,3 +68,25 @@ def test_sets(spark):
         d=sets.both_equal(F.lit("A"), F.lit("a")), e=sets.both_equal(F.lit(""), F.lit("")), f=sets.id_list(F.lit("a,,b")), g=sets.both_equal(F.lit(None).cast("string"), F.lit("a")),
     )
     assert r.a == pytest.approx(1 - 3 / 7) and (r.b, r.c, r.d, r.e, r.f, r.g) == (1.0, 0.0, 1.0, 0.0, ["a", "b"], 0.0)
+
+
+def test_partial_ratio_has_no_direction():
+    import random
+
+    rng = random.Random(1)
+    for _ in range(3000):
+        a, b = ("".join(rng.choice("abcd") for _ in range(rng.randint(0, 9))) for _ in range(2))
+        assert fuzzy.partial_ratio(a, b) == fuzzy.partial_ratio(b, a) and fuzzy.wratio(a, b) == fuzzy.wratio(b, a)
+
+
+def test_published_codes():
+    """Codes that publications of the three algorithms give."""
+    from kinfold.functions import phonetics
+
+    for word, code in {"Robert": "R163", "Rupert": "R163", "Rubin": "R150", "Ashcraft": "A261", "Ashcroft": "A261", "Tymczak": "T522", "Pfister": "P236", "Honeyman": "H555"}.items():
+        assert phonetics.soundex(word) == code, word
+    codes = {"Worthy": "WARTY", "Ogata": "OGAT", "montgomery": "MANTGANARY", "Costales": "CASTAL", "Tu": "T", "martincevic": "MARTANCAFAC", "Catherine": "CATARAN", "Johnathan": "JANATAN"}
+    for word, code in codes.items():
+        assert phonetics.nysiis(word) == code, word
+    for word, code in {"metaphone": "MTFN", "PETERSEN": "PTRSN", "thumb": "0M", "gnome": "NM", "wrong": "RNK", "Xalan": "SLN"}.items():
+        assert phonetics.metaphone(word) == code, word
