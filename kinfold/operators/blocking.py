@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
+from dataclasses import asdict
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import BlockingConfig
@@ -99,13 +101,21 @@ def same_country(a: Column, b: Column) -> Column:
 
 
 def key_pairs(left: DataFrame, right: DataFrame, restrict: bool = True) -> DataFrame:
-    """Distinct pairs that share a key.  A record without a country meets all countries, so rows are
-    joined on kind and key, and the country is checked as a residual."""
+    """Distinct pairs that share a key.
+
+    With countries, known ones are part of the join's key, so that a common key is split by them; only
+    records without a country, which meet all countries, are joined on kind and key alone.
+    """
     l = left.select(F.col("entity_id").alias("source1_entity_id"), F.col("country").alias("c1"), "kind", "key")  # noqa: E741
     r = right.select(F.col("entity_id").alias("candidate_entity_id"), F.col("country").alias("c2"), "kind", "key")
-    both = l.join(r, ["kind", "key"])
-    both = both.where(same_country(F.col("c1"), F.col("c2"))) if restrict else both
-    return both.select("source1_entity_id", "candidate_entity_id").distinct()
+    ids = ["source1_entity_id", "candidate_entity_id"]
+    if not restrict:
+        return l.join(r, ["kind", "key"]).select(*ids).distinct()
+    known = lambda df, c: df.where(F.col(c) != "")
+    unknown = lambda df, c: df.where(F.coalesce(F.col(c), F.lit("")) == "")
+    named = known(l, "c1").join(known(r, "c2").withColumnRenamed("c2", "c1"), ["kind", "key", "c1"])
+    open_left, open_right = unknown(l, "c1").join(r, ["kind", "key"]), known(l, "c1").join(unknown(r, "c2"), ["kind", "key"])
+    return named.select(*ids).union(open_left.select(*ids)).union(open_right.select(*ids)).distinct()
 
 
 def tiered(exact: DataFrame, *fuzzy: DataFrame) -> DataFrame:
@@ -131,15 +141,44 @@ def cap(pairs: DataFrame, most: int, seed: int = 42) -> DataFrame:
     return exact.select(*columns).union(room.select(*columns)).withColumn("is_exact", F.col("tier") == 0)
 
 
+class KeyIndex:
+    """All keys of the records that are searched, written once and read for any number of queries."""
+
+    def __init__(self, exact: DataFrame, fuzzy: DataFrame | None, cfg: BlockingConfig):
+        self.exact, self.fuzzy, self.cfg = exact, fuzzy, cfg
+
+    @classmethod
+    def build(cls, records: DataFrame, cfg: BlockingConfig = BlockingConfig()) -> KeyIndex:
+        return cls(exact_keys(records, cfg), fuzzy_keys(records, cfg), cfg)
+
+    def save(self, path: str) -> KeyIndex:
+        """Bands are saved too, so that a loaded index finds what a fresh one does."""
+        self.exact.write.mode("overwrite").partitionBy("kind").parquet(f"{path}/exact")
+        if self.fuzzy is not None:
+            self.fuzzy.write.mode("overwrite").parquet(f"{path}/fuzzy")
+        settings = self.exact.sparkSession.createDataFrame([(json.dumps(asdict(self.cfg)),)], "settings string")
+        settings.write.mode("overwrite").json(f"{path}/settings")
+        return self.load(self.exact.sparkSession, path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> KeyIndex:
+        cfg = BlockingConfig(**json.loads(spark.read.json(f"{path}/settings").first().settings))
+        columns = ["entity_id", "country", "kind", "key"]
+        exact = spark.read.parquet(f"{path}/exact").select(*columns)
+        return cls(exact, spark.read.parquet(f"{path}/fuzzy").select(*columns) if cfg.name_minhash or cfg.addr_minhash else None, cfg)
+
+    def candidates(self, s1: DataFrame, neighbours: DataFrame | None = None, capped: bool = True) -> DataFrame:
+        exact = key_pairs(exact_keys(s1, self.cfg), self.exact, self.cfg.same_country)
+        fuzzy = [neighbours] if neighbours is not None else []
+        if self.fuzzy is not None:
+            fuzzy.append(key_pairs(fuzzy_keys(s1, self.cfg), self.fuzzy, self.cfg.same_country))
+        pairs = tiered(exact, *fuzzy)
+        return cap(pairs, self.cfg.max_candidates, self.cfg.seed) if capped else pairs.withColumn("is_exact", F.col("tier") == 0)
+
+
 def candidates(s1: DataFrame, others: DataFrame, cfg: BlockingConfig = BlockingConfig(), neighbours: DataFrame | None = None, capped: bool = True) -> DataFrame:
     """(source1_entity_id, candidate_entity_id, tier, is_exact) from all keys, and nearest neighbours if given."""
-    exact = key_pairs(exact_keys(s1, cfg), exact_keys(others, cfg), cfg.same_country)
-    fuzzy = [neighbours] if neighbours is not None else []
-    left, right = fuzzy_keys(s1, cfg), fuzzy_keys(others, cfg)
-    if left is not None:
-        fuzzy.append(key_pairs(left, right, cfg.same_country))
-    pairs = tiered(exact, *fuzzy)
-    return cap(pairs, cfg.max_candidates, cfg.seed) if capped else pairs.withColumn("is_exact", F.col("tier") == 0)
+    return KeyIndex.build(others, cfg).candidates(s1, neighbours, capped)
 
 
 def candidate_lists(pairs: DataFrame, s1: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.sets import dot
@@ -69,6 +69,19 @@ def topk(queries: DataFrame, corpus: DataFrame, k: int, *, by: list[str], query:
     return best.select(*by, F.col("q").alias(query), F.col("c").alias(candidate), "score", "rank")
 
 
+def save_lists(indexed: DataFrame, path: str, centres: np.ndarray) -> None:
+    """An index as a table partitioned by cell, with its centroids."""
+    indexed.write.mode("overwrite").partitionBy("cell").parquet(f"{path}/lists")
+    rows = [(i, [float(x) for x in c]) for i, c in enumerate(centres)]  # one for each cell
+    indexed.sparkSession.createDataFrame(rows, "cell int, centre array<float>").write.mode("overwrite").parquet(f"{path}/centres")
+
+
+def load_lists(spark: SparkSession, path: str, vector: str = "vector") -> tuple[DataFrame, Callable[[DataFrame, int], DataFrame]]:
+    """A saved index and its probe, as inverted_lists() gave them."""
+    rows = spark.read.parquet(f"{path}/centres").orderBy("cell").collect()
+    return spark.read.parquet(f"{path}/lists"), _prober(spark.sparkContext.broadcast(np.array([r.centre for r in rows], np.float32)), vector)
+
+
 def inverted_lists(corpus: DataFrame, vector: str = "vector", lists: int | None = None, seed: int = 42) -> tuple[DataFrame, Callable[[DataFrame, int], DataFrame]]:
     """The corpus with its nearest centroid as ``cell``, and a function that gives queries their
     nearest ``probes`` cells, one row each.  One list for every hundred rows, 4096 at most.
@@ -80,6 +93,10 @@ def inverted_lists(corpus: DataFrame, vector: str = "vector", lists: int | None
     model = KMeans(k=max(2, lists), featuresCol="__v", predictionCol="cell", seed=seed, maxIter=10).fit(rows)
     centres = corpus.sparkSession.sparkContext.broadcast(np.array(model.clusterCenters(), np.float32))
 
+    return model.transform(rows).drop("__v"), _prober(centres, vector)
+
+
+def _prober(centres, vector: str) -> Callable[[DataFrame, int], DataFrame]:
     def probe(queries: DataFrame, probes: int | float) -> DataFrame:
         """A number of cells, or a share of them all."""
         probes = int(np.ceil(probes * len(centres.value))) if isinstance(probes, float) else probes
@@ -92,7 +109,8 @@ def inverted_lists(corpus: DataFrame, vector: str = "vector", lists: int | None
 
         return queries.withColumn("cell", F.explode(nearest(F.col(vector))))
 
-    return model.transform(rows).drop("__v"), probe
+    probe.centres = centres.value
+    return probe
 
 
 class Reranker(Protocol):

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import argparse
+import sys
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tsv import read_tsv
+
 EXAMPLES = 5
 MATCHING, CANDIDATES = ("source1_entity_id", "matched_entity_ids"), ("source1_entity_id", "candidate_entity_ids")
 ISSUES = "severity string, file string, rule string, n long, examples string"
@@ -15,7 +19,8 @@ ISSUES = "severity string, file string, rule string, n long, examples string"
 def read_lines(spark: SparkSession, path: str) -> tuple[str | None, DataFrame]:
     """The header of a TSV, and its other lines with their numbers.
 
-    Numbers come from the lines before each partition; the driver sees one count for each.
+    Numbers come from the lines before each partition; the driver sees one count for each.  Where a
+    table lies in several files, each repeats the header.
     """
     text = spark.read.text(path).select(F.col("value").alias("line"), F.monotonically_increasing_id().alias("id"))
     part, at = F.shiftright("id", 33), F.col("id").bitwiseAND((1 << 33) - 1)
@@ -27,7 +32,8 @@ def read_lines(spark: SparkSession, path: str) -> tuple[str | None, DataFrame]:
         return None, text.select("line", F.lit(0).alias("number"))
     offset = F.element_at(F.create_map(*[F.lit(x) for kv in before.items() for x in kv]), part)
     lines = text.select("line", (offset + at + 1).alias("number"))
-    return lines.where("number = 1").first().line, lines.where("number > 1")
+    header = lines.where("number = 1").first().line
+    return header, lines.where((F.col("number") > 1) & (F.col("line") != header))
 
 
 def parse(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -107,3 +113,27 @@ def validate(spark: SparkSession, matching: str, required: DataFrame, candidates
     if len(parsed) == 2:
         found.append(outside_candidates(parsed["matching"], parsed["candidates"]))
     return reduce(DataFrame.union, found)
+
+
+def main(args: list[str] | None = None) -> int:
+    """Print all issues of one file or two; 1 if one is an error, else 0."""
+    parser = argparse.ArgumentParser(description=main.__doc__)
+    parser.add_argument("matching")
+    parser.add_argument("--candidates")
+    parser.add_argument("--source1", required=True, help="the records that need a row each")
+    parser.add_argument("--known", nargs="*", default=[], help="sources whose ids may be named; without any, ids aren't looked up")
+    a = parser.parse_args(args)
+    spark = SparkSession.builder.getOrCreate()
+    ids = lambda path: read_tsv(spark, path, columns=["entity_id"]).select(F.col("entity_id").alias("id"))
+    valid = reduce(DataFrame.union, map(ids, a.known)) if a.known else None
+    issues = validate(spark, a.matching, ids(a.source1), a.candidates, valid)
+    rows = issues.orderBy("severity", "file", "rule").collect()  # one for each rule and file
+    for r in rows:
+        print(f"{r.severity}: {r.file}: {r.rule} ({r.n}): {r.examples}")
+    bad = any(r.severity == "error" for r in rows)
+    print("failed" if bad else "passed")
+    return int(bad)
+
+
+if __name__ == "__main__":
+    sys.exit(main())

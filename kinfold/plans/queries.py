@@ -166,14 +166,6 @@ def ngram_sets(spark, sf):
     return g.select("entity_id", F.size("g").cast("long").alias("n_ngrams"), F.array_min("g").alias("first_ngram"))
 
 
-@query(r"""SELECT doc_id, array_to_string(regexp_extract_all(text, '\b\d{5}(?:-\d{4})?\b'), ',') AS us, array_to_string(regexp_extract_all(text, '\b\d{6}\b'), ',') AS india FROM documents
-WHERE regexp_matches(text, '\b\d{5,6}\b')""")
-def postal_extract(spark, sf):
-    d = _table(spark, sf, "documents").where(F.col("text").rlike(r"\b\d{5,6}\b"))
-    codes = lambda c: F.array_join(text.postal_codes(F.col("text"), F.lit(c)), ",")
-    return d.select("doc_id", codes("US").alias("us"), codes("India").alias("india"))
-
-
 ADDRESSES = [
     (1, "house no 12, 5 mg road, unit 7, delhi 110001", "India"), (2, "6267 passing sky drive, colorado", "US"), (3, "p.o. box 77, flower road", "US"), (4, "flat no 12-b main st 60606-1234", "US"),
     (5, "plot no. 5/6 west virginia avenue", "US"), (6, "12 rue de la paix 75001 paris, ile-de-france", "France"), (7, "", "US"), (8, "calle mayor 5 28013 madrid", "Spain"), (9, "post office box: 9 suite 300 arkansas", "US"),
@@ -208,9 +200,16 @@ def suffix_strip(spark, sf):
     return df.select("id", text.strip(text.basename(F.col("name"))).alias("name"), tidy.alias("canonical"))
 
 
-@query("SELECT doc_id, 'Latin' AS script FROM documents")
+LETTERS = ["अआइईउ", "অআইঈউ", "அஆஇஈஉ", "ఆఇఈఉఊ"]
+
+
+@query("SELECT doc_id, CASE WHEN NOT regexp_matches(coalesce(text, ''), '[aeiou]') OR doc_id % 5 = 4 THEN 'Latin' ELSE ['Devanagari', 'Bengali', 'Tamil', 'Telugu'][doc_id % 5 + 1] END AS script FROM documents")
 def script_detect(spark, sf):
-    return _table(spark, sf, "documents").select("doc_id", text.script(F.coalesce("text", F.lit(""))).alias("script"))
+    """Documents with their vowels written in another script, four of five of them."""
+    d = _table(spark, sf, "documents").withColumn("text", F.coalesce("text", F.lit("")))
+    for i, letters in enumerate(LETTERS):
+        d = d.withColumn("text", F.when(F.col("doc_id") % 5 == i, F.translate("text", "aeiou", letters)).otherwise(F.col("text")))
+    return d.select("doc_id", text.script(F.col("text")).alias("script"))
 
 
 @query("WITH " + REC + " SELECT entity_id, strip_accents(name) AS folded FROM rec WHERE regexp_matches(name, '[àâäéèêëïîôöùûüÿçñáíóú]') AND NOT contains(name, 'ß')")
@@ -339,9 +338,10 @@ def union_candidates(spark, sf):
     return blocking.tiered(blocking.key_pairs(a, b), pairs(spark, sf)).select(S1, C)
 
 
-@query("WITH " + TRUTH + " SELECT * FROM truth EXCEPT SELECT * FROM cand")
+@query("WITH " + TRUTH + PAIR[len(REC) :] + " SELECT source1_entity_id, candidate_entity_id FROM pair EXCEPT SELECT * FROM cand")
 def missed_matches(spark, sf):
-    return truth(spark, sf).join(some_candidates(spark, sf), [S1, C], "left_anti").select(S1, C).distinct()
+    """Pairs of one key that those of another have missed."""
+    return evaluate.missed(pairs(spark, sf), some_candidates(spark, sf))
 
 
 # --- features -----------------------------------------------------------------------------------
@@ -607,6 +607,12 @@ def addressed_records(spark, sf):
     return _placed(spark, sf).select(*PARTS, F.array_join("postal_codes", ",").alias("postal"))
 
 
+@query("WITH " + PLACES + " SELECT entity_id, CASE WHEN k % 4 <> 1 THEN code ELSE '' END AS us, CASE WHEN k % 4 = 1 THEN code ELSE '' END AS india FROM place JOIN paddr ON k = substr(entity_id, 4)::BIGINT")
+def postal_extract(spark, sf):
+    codes = lambda c: F.array_join(text.postal_codes(F.col("business_address"), F.lit(c)), ",")
+    return addressed(spark, sf).select("entity_id", codes("US").alias("us"), codes("India").alias("india"))
+
+
 PLACE_KEYS = PLACES + """, pkey AS (
   SELECT entity_id, country, 'PIN' AS kind, postal AS key FROM paddr WHERE postal <> '' UNION ALL SELECT entity_id, country, 'CITY_STATE', city || ':' || state FROM paddr WHERE state <> ''
   UNION ALL SELECT entity_id, country, 'HOUSE', house_number_norm FROM paddr
