@@ -598,6 +598,25 @@ def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar(docs).select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
 
 
+OP3_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), link AS (
+  SELECT x, y FROM (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b USING (k) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2) JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y
+  WHERE 100 * c >= 80 * (p.n + q.n - c)
+), reach AS (
+  SELECT x, y FROM link UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x
+), least AS (
+  SELECT x, min(y) AS y FROM reach GROUP BY x
+)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(y, d.doc_id)) AS component_id FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least ON x = d.doc_id
+"""
+
+
 def brute_force(docs: list[tuple]) -> list[tuple]:
     """The contract of op3 on plain Python values, for tests."""
     import re

@@ -179,3 +179,66 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *[F.col(f"pii.n_{k}").alias(f"n_{k}") for k in KINDS],
         F.sha2(joined(F.filter(spans, lambda s: s["kind"].isin(*KINDS))), 256).alias("base_sha256"), joined(spans).alias("spans"), F.size(spans).cast("long").alias("n_spans"),
     )
+
+
+def _sql(rounds: int = ROUNDS) -> str:
+    """The whole of op5 as SQL: matches, positions, the pattern graph and its turns."""
+    w, b = r"[^ \t\n\x0B\f\r]", r"[ \t\n\x0B\f\r]"
+    kinds = {
+        "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", "card": r"[0-9](?:[\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+        "number": r"[^ \t\n\x0B\f\r0-9]*(?:[0-9][^ \t\n\x0B\f\r0-9]*){5,}",
+    }
+    found = " UNION ALL ".join(f"SELECT r, '{k}' AS kind, regexp_extract_all(t, '{p}') AS m, string_split_regex(t, '{p}') AS b FROM d" for k, p in kinds.items())
+    turns = ""
+    for t in range(rounds):
+        turns += f""", score{t} AS (
+  SELECT pattern, avg(belief) AS score FROM edge JOIN known{t} USING (value) GROUP BY pattern HAVING sum(seed) >= {SEEDS}
+), known{t + 1} AS (
+  SELECT value, greatest(max(seed), coalesce(max(score), 0))::DOUBLE AS belief FROM edge LEFT JOIN score{t} USING (pattern) GROUP BY value
+)"""
+    plain = lambda x: f"lower(regexp_replace({x}, '[0-9]+', '0', 'g'))"
+    return f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
+), raw AS (
+  SELECT r, kind, i, m[i] AS v, b[i] AS before, b[i + 1] AS after FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM ({found}))
+), placed AS (
+  SELECT *, sum(length(before) + length(v)) OVER (PARTITION BY r, kind ORDER BY i) AS e, regexp_replace(v, '[^0-9]', '', 'g') AS g FROM raw
+), valid AS (
+  SELECT r, kind, v, e - length(v) AS s, e, right(before, {TAIL}) AS tail, left(after, {TAIL}) AS head, kind <> 'number' AS seed FROM placed WHERE CASE kind
+    WHEN 'ip' THEN len(list_filter(string_split(v, '.'), lambda x: coalesce(TRY_CAST(x AS HUGEINT), 256) > 255)) = 0
+    WHEN 'card' THEN length(g) BETWEEN 12 AND 19 AND list_sum(list_transform(range(1, length(g) + 1), lambda k: CASE WHEN k % 2 = 1 THEN g[-k]::INT WHEN g[-k]::INT > 4 THEN 2 * g[-k]::INT - 9 ELSE 2 * g[-k]::INT END)) % 10 = 0
+    WHEN 'phone' THEN length(g) BETWEEN 9 AND 15 ELSE TRUE END
+), cored AS (
+  SELECT * REPLACE (CASE WHEN seed THEN v ELSE regexp_replace(regexp_replace(v, '^[^0-9A-Za-z+]+', ''), '[^0-9A-Za-z]+$', '') END AS v, CASE WHEN seed THEN s ELSE s + length(regexp_extract(v, '^[^0-9A-Za-z+]*')) END AS s,
+    CASE WHEN seed THEN regexp_replace(tail, '{w}+$', '') ELSE tail END AS tail, CASE WHEN seed THEN regexp_replace(head, '^{w}+', '') ELSE head END AS head) FROM valid
+), told AS (
+  SELECT r, kind, v, s, s + length(v) AS e, seed, tail, head FROM cored
+), near AS (
+  SELECT *, coalesce(max(CASE WHEN seed THEN e END) OVER (PARTITION BY r ORDER BY s, seed DESC, e DESC, kind ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > s, FALSE) AS inside,
+    coalesce(min(CASE WHEN seed THEN s END) OVER (PARTITION BY r ORDER BY s, seed DESC, e DESC, kind ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) < e, FALSE) AS cut FROM told
+), cued AS (
+  SELECT r, kind, v, s, e, seed, inside, regexp_extract(tail, '({w}{{1,40}}{b}+{w}{{1,40}}){b}+$', 1) AS before, regexp_extract(tail, '({w}{{1,40}}[:=#]){b}+$', 1) AS label, regexp_extract(tail, '({w}{{1,40}}){b}+$', 1) AS last,
+    regexp_extract(head, '^{b}+({w}{{1,40}}{b}+{w}{{1,40}})', 1) AS after, regexp_extract(head, '^{b}+({w}{{1,40}})', 1) AS following FROM near WHERE seed OR NOT (inside OR cut)
+), instance AS (
+  SELECT r, kind, s, e, v, seed, CASE WHEN inside THEN [] ELSE list_distinct(list_filter([
+    CASE WHEN before <> '' THEN {plain("before || ' _'")} END, CASE WHEN label <> '' THEN {plain("label || ' _'")} END, CASE WHEN after <> '' THEN {plain("'_ ' || after")} END,
+    CASE WHEN last <> '' AND following <> '' THEN {plain("last || ' _ ' || following")} END], lambda x: x IS NOT NULL)) END AS patterns FROM cued
+), edge AS (
+  SELECT pattern, value, max(seed) AS seed FROM (SELECT unnest(patterns) AS pattern, v AS value, seed::INT AS seed FROM instance) GROUP BY pattern, value
+), known0 AS (
+  SELECT value, max(seed)::DOUBLE AS belief FROM edge GROUP BY value
+){turns}, span AS (
+  SELECT r, kind, s, e FROM instance WHERE seed
+  UNION ALL SELECT DISTINCT r, 'context', s, e FROM (SELECT r, s, e, unnest(patterns) AS pattern FROM instance WHERE NOT seed) JOIN score{rounds - 1} USING (pattern) WHERE score >= {RELIABLE}
+), held AS (
+  SELECT r, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip, count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone, count(*) AS n_spans,
+    string_agg(kind || ':' || s::BIGINT || ':' || e::BIGINT, ',' ORDER BY s, k, e) AS spans, string_agg(kind || ':' || s::BIGINT || ':' || e::BIGINT, ',' ORDER BY s, k, e) FILTER (kind <> 'context') AS base
+  FROM (SELECT *, list_position(['email', 'ip', 'card', 'phone', 'context'], kind) AS k FROM span) GROUP BY r
+)
+SELECT doc_id, coalesce(n_email, 0)::BIGINT AS n_email, coalesce(n_ip, 0)::BIGINT AS n_ip, coalesce(n_card, 0)::BIGINT AS n_card, coalesce(n_phone, 0)::BIGINT AS n_phone, sha256(coalesce(base, '')) AS base_sha256,
+  coalesce(spans, '') AS spans, coalesce(n_spans, 0)::BIGINT AS n_spans FROM d LEFT JOIN held USING (r)
+"""
+
+
+OP5_SQL = _sql()

@@ -18,5 +18,9 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_decontaminate": decontaminate.OP1_SQL,
+    "op2_repeats": repeats.OP2_SQL,
+    "op3_jaccard": jaccard.OP3_SQL,
+    "op5_pii": pii.OP5_SQL,
     "op7_quality": quality.OP7_SQL,
 }

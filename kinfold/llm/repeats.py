@@ -532,6 +532,28 @@ def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP2_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), s AS (
+  SELECT r, i, md5(substr(h, 2 * i + 1, {2 * SIZE})) AS k FROM (SELECT r, h, unnest(range(0, length(h) // 2 - {SIZE} + 1)) AS i FROM d)
+), twice AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY k) AS n FROM s) WHERE n > 1
+), marked AS (
+  SELECT r, i, CASE WHEN i > lag(i) OVER (PARTITION BY r ORDER BY i) + {SIZE} THEN 1 ELSE 0 END AS new FROM twice
+), run AS (
+  SELECT r, min(i) AS a, max(i) + {SIZE} AS b FROM (SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS run FROM marked) GROUP BY r, run
+), gap AS (
+  SELECT r, a, b, substr(h, 2 * coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) + 1, 2 * (a - coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0))) AS before FROM run JOIN d USING (r)
+), kept AS (
+  SELECT r, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, string_agg(before, '' ORDER BY a) AS begin, max(b) AS last FROM gap GROUP BY r
+)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(CASE WHEN last IS NULL THEN h ELSE begin || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
+
 def brute_force(docs: list[tuple]) -> list[tuple]:
     """The contract of op2 on plain Python values, for tests."""
     from collections import Counter
