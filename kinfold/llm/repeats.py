@@ -51,7 +51,7 @@ SIZE, GRAM = 200, 56
 LEFT, WIDTH = SIZE - GRAM, 2 * SIZE - GRAM
 WORDS = (WIDTH - LEFT) // 8
 #: Bytes that one task gets; contexts of a shard; contexts from which an anchor is split.
-TASK_BYTES, SHARD, SPLIT = 16 << 20, 32_768, 50_000
+TASK_BYTES, SHARD, SPLIT = 8 << 20, 16_384, 50_000
 #: Texts of an Arrow batch.
 BATCH = 4000
 #: Offsets of a split anchor's part.
@@ -125,7 +125,7 @@ def _index(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names, parts = batch.column(0).to_numpy(zero_copy_only=False), [np.empty(0, ENTRY)]
-            for p in ts.pieces(batch.column(1)):
+            for p in ts.pieces(batch.column(1), 1 << 18):
                 doc, lo, span, rel, anchor = anchors(p)
                 e = np.empty(len(doc), ENTRY)
                 e["anchor"], e["row"], e["lo"], e["span"], e["rel"] = anchor, names[p.first + doc], lo, span, rel
