@@ -69,8 +69,8 @@ def test_nothing_goes_without_the_merge(spark, monkeypatch):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     shards, settle = [], r.settle
 
-    def counted(df):
-        table = settle(df)
+    def counted(df, **options):
+        table = settle(df, **options)
         shards.extend(table.where("kind = 1").select("key").collect() if "key" in df.columns else [])
         return table
 
