@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import partial
+from unicodedata import normalize
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -218,7 +219,74 @@ def accent_fold(spark, sf):
     return r.select("entity_id", folding.folded(F.col("name"), F.lit("US")).alias("folded"))
 
 
-@query()
+@query("SELECT doc_id, CASE WHEN lang = 'fr' THEN replace(strip_accents(coalesce(text, '')), 'ß', 'ss') ELSE strip_accents(coalesce(text, '')) END AS folded FROM documents")
+def accent_fold_whole(spark, sf):
+    """All documents to their end; those in French by letter, as for France, all others by mark."""
+    country = F.when(F.col("lang") == "fr", "France").otherwise("US")
+    return _table(spark, sf, "documents").select("doc_id", folding.folded(F.col("text"), country).alias("folded"))
+
+
+def _decomposed(column: str) -> str:
+    """Letters with marks as letter and mark, in capitals."""
+    for c in "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ":
+        column = f"replace({column}, '{c}', '{normalize('NFKD', c)}')"
+    return f"upper(replace({column}, 'ß', 'ss'))"
+
+
+# Phonetic codes of the texts ``spoken(s)``, a letter or cluster a step; ``prev``, ``next`` and ``after`` are the letters around.
+_VOWEL = "IN ('A', 'E', 'I', 'O', 'U')"
+PHONETIC = f""", heard AS (SELECT s, {_decomposed('s')} AS u FROM (SELECT DISTINCT s FROM spoken)
+), heads AS (
+  SELECT s, u, CASE WHEN u LIKE 'MAC%' THEN 'MCC' || u[4:] WHEN u LIKE 'KN%' THEN 'NN' || u[3:] WHEN u LIKE 'K%' THEN 'C' || u[2:] WHEN u LIKE 'PH%' OR u LIKE 'PF%' THEN 'FF' || u[3:]
+              WHEN u LIKE 'SCH%' THEN 'SSS' || u[4:] ELSE u END AS h FROM heard
+), ends AS (
+  SELECT s, CASE WHEN h[-2:] IN ('EE', 'IE') THEN h[:-3] || 'Y' WHEN h[-2:] IN ('DT', 'RT', 'RD', 'NT', 'ND') THEN h[:-3] || 'D' ELSE h END AS h FROM heads
+), ny AS (
+  SELECT s, h, 2 AS i, h[1] AS code FROM ends UNION ALL
+  SELECT s, h, i + step, code || CASE WHEN part = 'AF' THEN CASE WHEN code[-1] = 'A' THEN 'F' ELSE 'AF' END WHEN part = code[-1] THEN '' ELSE part END
+  FROM (SELECT *, CASE WHEN h[i:i+1] = 'EV' THEN 'AF' WHEN c {_VOWEL} THEN 'A' WHEN c = 'Q' THEN 'G' WHEN c = 'Z' THEN 'S' WHEN c = 'M' OR h[i:i+1] = 'KN' THEN 'N' WHEN c = 'K' THEN 'C'
+               WHEN h[i:i+2] = 'SCH' THEN 'S' WHEN h[i:i+1] = 'PH' THEN 'F' WHEN c = 'H' AND NOT (prev {_VOWEL} AND next {_VOWEL}) THEN CASE WHEN prev {_VOWEL} THEN 'A' ELSE prev END
+               WHEN c = 'W' AND prev {_VOWEL} THEN prev ELSE c END AS part,
+               CASE WHEN h[i:i+2] = 'SCH' THEN 3 WHEN h[i:i+1] IN ('EV', 'KN', 'PH') THEN 2 ELSE 1 END AS step
+        FROM (SELECT *, h[i] AS c, h[i-1] AS prev, substr(h, i + 1, 1) AS next FROM ny WHERE i <= length(h)))
+), ny1 AS (SELECT s, CASE WHEN length(code) > 1 AND code[-1] = 'S' THEN code[:-2] ELSE code END AS code FROM ny WHERE i > length(h)
+), ny2 AS (SELECT s, CASE WHEN code LIKE '%AY' THEN code[:-3] || 'Y' ELSE code END AS code FROM ny1
+), nysiis AS (SELECT s, CASE WHEN length(code) > 1 AND code[-1] = 'A' THEN code[:-2] ELSE code END AS nysiis FROM ny2
+), digits AS (
+  SELECT s, u, translate(regexp_replace(u[1] || regexp_replace(u[2:], '[HW]', '', 'g'), '[^BFPVCGJKQSXZDTLMNR]', '0', 'g'), 'BFPVCGJKQSXZDTLMNR', '111122222222334556') AS d FROM heard
+), soundex AS (
+  SELECT s, CASE WHEN u = '' THEN '' ELSE u[1] || substr(replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(d, '1+', '1', 'g'), '2+', '2', 'g'), '3+', '3', 'g'), '4+', '4', 'g'), '5+', '5', 'g'), '6+', '6', 'g'), '0+', '0', 'g')[2:], '0', '') || '000', 1, 3) END AS soundex FROM digits
+), spelt AS (SELECT DISTINCT unnest(regexp_extract_all(u, '[A-Z]+')) AS w FROM heard
+), begun AS (SELECT w, regexp_replace(regexp_replace(regexp_replace(w, '^(KN|GN|PN|AE|WR)', CASE w[1:2] WHEN 'AE' THEN 'E' WHEN 'WR' THEN 'R' ELSE 'N' END), '^X', 'S'), '^WH', 'W') AS h FROM spelt
+), mp AS (
+  SELECT w, h, 1 AS i, '' AS code FROM begun UNION ALL
+  SELECT w, h, i + CASE WHEN c = prev AND c <> 'C' THEN 1 WHEN c = 'D' AND next = 'G' AND after IN ('E', 'I', 'Y') THEN 3 WHEN c = 'C' AND next = 'H' OR c IN ('P', 'S', 'T') AND next = 'H' THEN 2 ELSE 1 END,
+         code || CASE WHEN c = prev AND c <> 'C' THEN '' WHEN c {_VOWEL} THEN CASE WHEN i = 1 THEN c ELSE '' END
+           WHEN c = 'B' THEN CASE WHEN next = '' AND prev = 'M' THEN '' ELSE 'B' END
+           WHEN c = 'C' THEN CASE WHEN next = 'I' AND after = 'A' THEN 'X' WHEN next = 'H' THEN CASE WHEN prev = 'S' THEN 'K' ELSE 'X' END WHEN next IN ('I', 'E', 'Y') THEN CASE WHEN prev = 'S' THEN '' ELSE 'S' END ELSE 'K' END
+           WHEN c = 'D' THEN CASE WHEN next = 'G' AND after IN ('E', 'I', 'Y') THEN 'J' ELSE 'T' END
+           WHEN c = 'G' THEN CASE WHEN next = 'H' AND NOT after {_VOWEL} OR next = 'N' AND (after = '' OR h[i+1:] = 'NED') THEN '' WHEN next IN ('E', 'I', 'Y') AND prev <> 'G' THEN 'J' ELSE 'K' END
+           WHEN c = 'H' THEN CASE WHEN next {_VOWEL} AND prev NOT IN ('C', 'G', 'P', 'S', 'T') THEN 'H' ELSE '' END
+           WHEN c = 'K' THEN CASE WHEN prev = 'C' THEN '' ELSE 'K' END WHEN c = 'P' THEN CASE WHEN next = 'H' THEN 'F' ELSE 'P' END WHEN c = 'Q' THEN 'K'
+           WHEN c = 'S' THEN CASE WHEN next = 'H' OR next = 'I' AND after IN ('O', 'A') THEN 'X' ELSE 'S' END
+           WHEN c = 'T' THEN CASE WHEN next = 'I' AND after IN ('O', 'A') THEN 'X' WHEN next = 'H' THEN '0' WHEN next = 'C' AND after = 'H' THEN '' ELSE 'T' END
+           WHEN c = 'V' THEN 'F' WHEN c IN ('W', 'Y') THEN CASE WHEN next {_VOWEL} THEN c ELSE '' END WHEN c = 'X' THEN 'KS' WHEN c = 'Z' THEN 'S' ELSE c END
+  FROM (SELECT *, h[i] AS c, CASE WHEN i > 1 THEN h[i-1] ELSE '' END AS prev, substr(h, i + 1, 1) AS next, substr(h, i + 2, 1) AS after FROM mp WHERE i <= length(h))
+), word_code AS (SELECT w, code FROM mp WHERE i > length(h)
+), told AS (SELECT s AS t, {_decomposed('s')} AS u FROM (SELECT s FROM spoken UNION SELECT unnest(string_split_regex(s, '\s+')) FROM spoken)
+), text_code AS (
+  SELECT t, coalesce(string_agg(code, ' ' ORDER BY k) FILTER (code <> ''), '') AS code
+  FROM (SELECT t, unnest(ws) AS w, generate_subscripts(ws, 1) AS k FROM (SELECT t, regexp_extract_all(u, '[A-Z]+') AS ws FROM told)) JOIN word_code USING (w) GROUP BY t
+), sorted_code AS (
+  SELECT s, string_agg(coalesce(code, ''), ' ' ORDER BY k) AS metaphone_sorted
+  FROM (SELECT s, unnest(ts) AS t, generate_subscripts(ts, 1) AS k FROM (SELECT s, list_sort(list_filter(string_split_regex(s, '\s+'), lambda x: x <> '')) AS ts FROM heard)) LEFT JOIN text_code USING (t) GROUP BY s
+), code AS (
+  SELECT s, coalesce(t.code, '') AS metaphone, coalesce(metaphone_sorted, '') AS metaphone_sorted, soundex, coalesce(nysiis, '') AS nysiis
+  FROM heard LEFT JOIN text_code t ON t.t = s LEFT JOIN sorted_code USING (s) LEFT JOIN soundex USING (s) LEFT JOIN nysiis USING (s)
+)"""
+
+
+@query("WITH RECURSIVE " + REC + ", spoken AS (SELECT name AS s FROM rec)" + PHONETIC + " SELECT entity_id, code.* EXCLUDE (s) FROM rec JOIN code ON s = name")
 def phonetic_codes(spark, sf):
     return records(spark, sf).select("entity_id", phonetics.phonetic_keys(F.col("name")).alias("k")).select("entity_id", "k.*")
 
@@ -382,10 +450,47 @@ def tfidf_cosine(spark, sf):
     return fitted.cosine(p).withColumn("tfidf_cosine", F.round("tfidf_cosine", 6))
 
 
-@query()
+# Longest common subsequences by their table, one line a step, for all texts that any ratio compares.
+FUZZY = PAIR + """, name AS (
+  SELECT n1, n2, string_split(n1, ' ') AS w1, string_split(n2, ' ') AS w2 FROM (SELECT DISTINCT n1, n2 FROM pair)
+), word AS (
+  SELECT n1, n2, array_to_string(list_sort(w1), ' ') AS s1, array_to_string(list_sort(w2), ' ') AS s2, list_sort(list_intersect(list_distinct(w1), list_distinct(w2))) AS shared,
+         list_sort(list_filter(list_distinct(w1), lambda x: NOT list_contains(w2, x))) AS l, list_sort(list_filter(list_distinct(w2), lambda x: NOT list_contains(w1, x))) AS r FROM name
+), part AS (
+  SELECT *, array_to_string(shared, ' ') AS common, array_to_string(list_concat(shared, l), ' ') AS one, array_to_string(list_concat(shared, r), ' ') AS two,
+         array_to_string(l, ' ') AS lo, array_to_string(r, ' ') AS ro FROM word
+), whole AS (
+  SELECT n1 AS x, n2 AS y FROM part UNION SELECT s1, s2 FROM part UNION SELECT lo, ro FROM part
+), slid AS (
+  SELECT x, y, a, substr(b, greatest(i, 1), least(i + length(a), length(b) + 1) - greatest(i, 1)) AS piece
+  FROM (SELECT x, y, a, b, unnest(range(2 - length(a), length(b) + 1)) AS i FROM (SELECT x, y, CASE WHEN length(x) <= length(y) THEN x ELSE y END AS a, CASE WHEN length(x) <= length(y) THEN y ELSE x END AS b FROM whole
+        UNION ALL SELECT x, y, y, x FROM whole WHERE length(x) = length(y)))
+), asked AS (
+  SELECT x, y FROM whole UNION SELECT a, piece FROM slid UNION SELECT one, two FROM part UNION SELECT common, one FROM part UNION SELECT common, two FROM part
+), step AS (
+  SELECT x, y, 0 AS i, list_transform(range(length(y) + 1), lambda j: 0) AS line FROM asked UNION ALL
+  SELECT x, y, i + 1, list_transform(range(1, length(y) + 2), lambda j: list_max(list_transform(range(1, j + 1), lambda k: CASE WHEN k > 1 AND y[k - 1] = x[i + 1] THEN line[k - 1] + 1 ELSE line[k] END)))
+  FROM step WHERE i < length(x)
+), ratio AS (
+  SELECT x, y, CASE WHEN x = '' AND y = '' THEN 1 ELSE 2 * line[-1] / (length(x) + length(y))::DOUBLE END AS v FROM step WHERE i = length(x)
+), partial AS (
+  SELECT w.x, w.y, CASE WHEN w.x = '' OR w.y = '' THEN CASE WHEN w.x = w.y THEN 1 ELSE 0 END ELSE max(v) END AS v
+  FROM whole w LEFT JOIN slid s ON s.x = w.x AND s.y = w.y LEFT JOIN ratio q ON q.x = s.a AND q.y = s.piece GROUP BY w.x, w.y
+), valued AS (
+  SELECT p.n1, p.n2, q.v AS whole, t.v AS sorted, pa.v AS partial, CASE WHEN len(shared) > 0 THEN 1 ELSE greatest(ps.v, pd.v) END AS partial_token,
+         CASE WHEN len(shared) > 0 AND (len(l) = 0 OR len(r) = 0) THEN 1 WHEN len(shared) > 0 THEN greatest(f.v, cf.v, cs.v) ELSE f.v END AS token_set,
+         greatest(length(p.n1), length(p.n2)) / least(length(p.n1), length(p.n2))::DOUBLE AS uneven
+  FROM part p JOIN ratio q ON q.x = p.n1 AND q.y = p.n2 JOIN ratio t ON t.x = s1 AND t.y = s2 JOIN partial pa ON pa.x = p.n1 AND pa.y = p.n2 JOIN partial ps ON ps.x = s1 AND ps.y = s2
+       JOIN partial pd ON pd.x = lo AND pd.y = ro JOIN ratio f ON f.x = one AND f.y = two JOIN ratio cf ON cf.x = common AND cf.y = one JOIN ratio cs ON cs.x = common AND cs.y = two
+)"""
+_UNEVEN = "CASE WHEN uneven <= 8 THEN 0.9 ELSE 0.6 END"
+
+
+@query("WITH RECURSIVE " + FUZZY + f""" SELECT n1, n2, round(whole, 6) AS fuzz_qratio, round(partial, 6) AS fuzz_partial_ratio, round(sorted, 6) AS fuzz_token_sort_ratio, round(token_set, 6) AS fuzz_token_set_ratio,
+  round(CASE WHEN uneven < 1.5 THEN greatest(whole, 0.95 * greatest(sorted, token_set)) ELSE greatest(whole, {_UNEVEN} * partial, 0.95 * {_UNEVEN} * partial_token) END, 6) AS fuzz_wratio FROM valued""")
 def fuzzy_ratios(spark, sf):
     p = pairs(spark, sf).select("n1", "n2").distinct()
-    return p.withColumn("r", fuzzy.ratios(F.col("n1"), F.col("n2"))).select("n1", "n2", "r.*")
+    return p.withColumn("r", fuzzy.ratios(F.col("n1"), F.col("n2"))).select("n1", "n2", *[F.round(f"r.{n}", 6).alias(n) for n in fuzzy.RATIOS])
 
 
 def _featured(spark, sf):
@@ -629,6 +734,29 @@ def addressed_keys(spark, sf):
     return keys.where(F.col("kind").isin("PIN", "CITY_STATE", "HOUSE", "SOUNDEX")).select("entity_id", "kind", "key")
 
 
+# Every code of names and addresses as a key, and the pairs that any of them finds.
+_CODED = {kind: ("name_clean" if not kind.startswith("ADDR_") else "addr_clean", c.removeprefix("addr_")) for kind, c in (blocking.NAME_CODES | blocking.ADDR_CODES).items()}
+SPOKEN_KEYS = PLACES + ", spoken AS (SELECT name_clean AS s FROM paddr UNION SELECT addr_clean FROM paddr)" + PHONETIC + ", ckey AS (" + " UNION ALL ".join(
+    f"SELECT entity_id, country, '{kind}' AS kind, code.{c} AS key FROM paddr JOIN code ON s = {of} WHERE code.{c} <> ''" for kind, (of, c) in _CODED.items()
+) + ")"
+
+
+def _coded(spark: SparkSession, sf: str) -> DataFrame:
+    return blocking.exact_keys(_placed(spark, sf)).where(F.col("kind").isin(*_CODED))
+
+
+@query("WITH RECURSIVE " + SPOKEN_KEYS + " SELECT entity_id, kind, key FROM ckey")
+def addressed_code_keys(spark, sf):
+    return _coded(spark, sf).select("entity_id", "kind", "key")
+
+
+@query("WITH RECURSIVE " + SPOKEN_KEYS + """ SELECT DISTINCT a.entity_id AS source1_entity_id, b.entity_id AS candidate_entity_id FROM ckey a JOIN ckey b USING (kind, key)
+WHERE a.entity_id LIKE 'S1-%' AND b.entity_id NOT LIKE 'S1-%' AND (a.country = '' OR b.country = '' OR a.country = b.country)""")
+def addressed_code_pairs(spark, sf):
+    a, b = sides(_coded(spark, sf))
+    return blocking.key_pairs(a, b)
+
+
 @query("WITH " + PLACE_KEYS + """ SELECT entity_id AS source1_entity_id, coalesce(string_agg(candidate_entity_id, ',' ORDER BY candidate_entity_id), '') AS candidate_entity_ids, count(candidate_entity_id)::INTEGER AS num_candidates
 FROM paddr LEFT JOIN ppair ON entity_id = source1_entity_id WHERE entity_id LIKE 'S1-%' GROUP BY 1""")
 def addressed_candidates(spark, sf):
@@ -667,11 +795,11 @@ def addressed_features(spark, sf):
 
 @query()
 def match_model(spark, sf):
-    """Boosted trees over pair features, calibrated by country on held-out pairs."""
+    """Boosted trees over pair features with the default settings, calibrated by country on held-out pairs."""
     _, featured = _featured(spark, sf)
-    rows = model.stratified(featured.cache())
-    trained = model.MatchModel(ModelConfig(rounds=10, depth=4, min_rows=5)).train(rows.where("NOT held"))
-    probable = trained.predict_proba(rows.where("held"))
+    rows = model.stratified(featured.cache()).persist()
+    trained = model.MatchModel(ModelConfig()).train(rows.where("NOT held"))
+    probable = trained.predict_proba(rows.where("held")).persist()
     return calibrate.Calibrator().fit(probable).predict(probable).select(S1, C, "country", "label", F.round("probability", 6).alias("probability"), "predicted")
 
 

@@ -212,3 +212,23 @@ def test_files_to_files(spark, tmp_path):
     assert header == "source1_entity_id\tmatched_entity_ids" and lines.count() == len(s1)
     sampled = tsv.sample({k: v for k, v in tsv.read_sources(spark, cfg.raw_dir, "train").items()}, tsv.read_tsv(spark, f"{cfg.raw_dir}/train/train_ground_truth.tsv", tsv.TRUTH), 4)
     assert sampled["source1"].count() == 4 == sampled["source2"].count()
+
+
+def test_address_library_where_it_is(monkeypatch):
+    import sys
+    from types import ModuleType
+
+    from kinfold.operators import preprocess
+
+    if preprocess._library() is None:
+        assert preprocess.best_parser() is preprocess.parse_by_patterns
+    package, expand, parser = (ModuleType(n) for n in ("postal", "postal.expand", "postal.parser"))
+    package.expand, package.parser = expand, parser
+    expand.expand_address = lambda a: [a.replace("st", "street")] if a != "odd" else []
+    parser.parse_address = lambda a: [(a.split()[0], "house_number"), (" ".join(a.split()[1:]), "road"), ("75001", "postcode"), ("paris", "city")] if " " in a else []
+    for m in (package, expand, parser):
+        monkeypatch.setitem(sys.modules, m.__name__, m)
+    assert preprocess.best_parser() is preprocess.parse_by_library
+    empty = {"house_number": "", "road": "", "unit": "", "po_box": "", "postal_codes": []}
+    assert preprocess.library_parts("5 main st", *preprocess._library()) == empty | {"house_number": "5", "road": "main street", "postal_codes": ["75001"]}
+    assert preprocess.library_parts("odd", *preprocess._library()) == preprocess.library_parts("", *preprocess._library()) == empty
