@@ -8,6 +8,9 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Shuffle files of an execution are deleted when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The session's checkpoint folder.
@@ -29,6 +32,19 @@ def _path(spark: SparkSession, folder: str):
     return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str):
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 @contextmanager
 def arrow_batches(spark: SparkSession, rows: int):
     """Arrow batches of at most so many rows for the actions within: whole texts are large rows."""
@@ -45,13 +61,14 @@ def settle(df: DataFrame, batch: int = 10_000) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and go on from the files.
 
     Unlike checkpoint() this computes the plan a single time and keeps columns compressed;
-    the files outlive any executor.  What forget() hasn't deleted goes when the driver ends.
+    the files outlive any executor, and the shuffles behind them go as soon as they are written.  What forget() hasn't deleted goes when the driver ends.
     """
     spark = df.sparkSession
     folder = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
     path, files = _path(spark, folder)
-    with arrow_batches(spark, batch):
-        df.write.parquet(folder)
+    with arrow_batches(spark, batch), _setting(spark, CLEANUP, "true"):
+        # a plan takes the setting when it is made, so this one is made anew
+        df.select("*").write.parquet(folder)
     files.deleteOnExit(path)
     return spark.read.schema(df.schema).parquet(folder)
 
