@@ -21,6 +21,12 @@ def keyed(spark):
     return a, b, {(x[0], y[0]) for x in a for y in b if x[2:] == y[2:] and (not x[1] or not y[1] or x[1] == y[1])}
 
 
+def test_light_keys_do_not_part_classes(spark, keyed):
+    a, b, want = keyed
+    got = blocking.split_pairs(spark.createDataFrame(a, KEYS), spark.createDataFrame(b, KEYS)).collect()
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+
+
 def test_lists_of_classes(spark, keyed):
     a, b, want = keyed
     s1 = spark.createDataFrame([(f"S1-{i}",) for i in range(81)], "entity_id string")
@@ -39,7 +45,7 @@ def agrees(spark, sf: str, name: str) -> None:
     assert got and sorted(map(str, got)) == sorted(map(str, want.fetchall()))
 
 
-@pytest.mark.parametrize("name", ["addressed_candidates"])
+@pytest.mark.parametrize("name", ["addressed_candidates", "addressed_code_pairs"])
 def test_addressed_as_in_the_sql(spark, name):
     agrees(spark, SF, name)
 
