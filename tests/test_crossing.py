@@ -4,8 +4,11 @@ import random
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
-from kinfold.operators import blocking
+from kinfold.functions import crossing, text
+from kinfold.operators import blocking, features
+from kinfold.plans import queries as q
 from kinfold.plans.queries import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -45,7 +48,7 @@ def agrees(spark, sf: str, name: str) -> None:
     assert got and sorted(map(str, got)) == sorted(map(str, want.fetchall()))
 
 
-@pytest.mark.parametrize("name", ["addressed_candidates", "addressed_code_pairs"])
+@pytest.mark.parametrize("name", ["addressed_candidates", "addressed_code_pairs", "addressed_features"])
 def test_addressed_as_in_the_sql(spark, name):
     agrees(spark, SF, name)
 
@@ -54,3 +57,49 @@ def test_no_row_for_each_pair(spark):
     """Lists are gathered from arrays: no pair of records is a row."""
     plan = QUERIES["addressed_candidates"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "collect_set(candidate_entity_id" not in plan
+
+
+def test_edits_of_names():
+    rng = random.Random(1)
+
+    def plain(a, b):
+        line = [*range(len(b) + 1)]
+        for i, x in enumerate(a, 1):
+            before, line = line, [i]
+            for j, y in enumerate(b, 1):
+                line.append(min(before[j] + 1, line[-1] + 1, before[j - 1] + (x != y)))
+        return line[-1]
+
+    for _ in range(2000):
+        a, b = ("".join(rng.choice("abcé") for _ in range(rng.randrange(70))) for _ in range(2))
+        assert crossing.levenshtein(a, b) == plain(a, b)
+
+
+@pytest.fixture(scope="module")
+def odd(spark, tmp_path_factory):
+    """Equal and near names, with and without a country, empty addresses, parts of addresses, long texts in many words."""
+    rng = random.Random(3)
+    texts = [f"Alpha beta {n} {m} house no {i % 4}b main street, unit {i % 3}, po box {i % 5}, colorado {12345 + i % 2} " + " ".join(f"w{rng.randrange(9000)}" for _ in range(i * 13)) for i in range(40) for n, m in [(rng.choice(["gamma", "Gamma", "gamme"]), rng.choice(["ltd", "delta", "éta"]))]]
+    texts += ["alpha beta", "alpha  beta gamma", "alpha", "", None, texts[0], texts[1], "omega psi chi phi 12 main road", "omega psi chi phi"]
+    rows = [(i, t, rng.choice(["US", "India", "", None]), f"src{side}") for i, (t, side) in enumerate((t, s) for t in texts for s in (1, 7))]
+    path = str(tmp_path_factory.mktemp("odd"))
+    rows = [(i, t, lang, source, len(t or "")) for i, t, lang, source in rows]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.parquet(f"{path}/documents.parquet")
+    return path
+
+
+def test_pair_features_of_chunks(spark, odd):
+    done = q.processed(spark, odd)
+    a, b = q.sides(done)
+    l, r = (q._keyed(x.withColumn("k", F.array_join(F.slice(text.tokens(F.col("name_clean")), 1, 2), " ")), ("HEAD", F.col("k"))) for x in (a, b))
+    labelled = features.label(blocking.row_pairs(l, r, True), q.truth(spark, odd))
+    plain = features.pair_features(features.hydrate(labelled, a, b), features.Tfidf.fit(a))
+    got = QUERIES["pair_features"](spark, odd)
+    assert got.columns == plain.columns and got.dtypes == plain.dtypes
+    want = {(x[0], x[1]): x for x in plain.collect()}
+    rows = got.collect()
+    assert len(rows) == len(want) > 1000 and {x.label for x in rows} == {0, 1}
+    for x in rows:
+        y = want[x[0], x[1]]
+        assert x[2:4] == y[2:4] and [*x[4:]] == pytest.approx([*y[4:]], abs=1e-12), (x, y)
+    assert "levenshtein(name_clean_1" not in got._jdf.queryExecution().optimizedPlan().toString()
