@@ -103,3 +103,16 @@ def test_pair_features_of_chunks(spark, odd):
         y = want[x[0], x[1]]
         assert x[2:4] == y[2:4] and [*x[4:]] == pytest.approx([*y[4:]], abs=1e-12), (x, y)
     assert "levenshtein(name_clean_1" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["addr_token_jaccard", "apply_threshold", "best_threshold", "pair_metrics", "singleton_features", "threshold_grid"])
+@pytest.mark.parametrize("whole", ["", "_whole"])
+def test_addresses_of_chunks_as_in_the_sql(spark, odd, name, whole):
+    """Empty addresses, and more words than a block of a matrix has."""
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS FROM '{odd}/documents.parquet/*.parquet'")
+    want = con.execute(ORACLE_SQL[name + whole])
+    columns = [d[0] for d in want.description]
+    got = QUERIES[name + whole](spark, odd)
+    assert sorted(map(str, (tuple(r[c] for c in columns) for r in got.collect()))) == sorted(map(str, want.fetchall()))
+    assert "array_intersect" not in got._jdf.queryExecution().optimizedPlan().toString() or name == "singleton_features"
